@@ -9,7 +9,7 @@ changes the time only, never the verdict: a document is kept if every rule passe
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,34 @@ SYMBOLS = "[#*$%&|<>]"
 SAMPLE_ROWS = 512
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def repeated_words(words: Column) -> Column:
+    """The number of words in windows of ``WINDOW`` words that a text holds twice or more."""
+
+    def of_hashes(hashes: Column) -> Column:
+        windows = F.transform(F.slice(hashes, 1, F.size(hashes) - (WINDOW - 1)), lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]))
+        return let(windows, lambda w: F.when(F.size(w) == F.size(F.array_distinct(w)), F.lit(0)).otherwise(of_windows(w)))
+
+    def of_windows(windows: Column) -> Column:
+        keyed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return let(keyed, lambda k: let(repeats(k), covered))
+
+    def repeats(keyed: Column) -> Column:
+        same = lambda x, j: F.coalesce(x["h"] == F.get(keyed, j)["h"], F.lit(False))
+        again = lambda x, j: same(x, j + 1) | ((j > 0) & same(x, F.greatest(j - 1, F.lit(0))))
+        return F.sort_array(F.transform(F.filter(keyed, again), lambda x: x["i"]))
+
+    def covered(starts: Column) -> Column:
+        spans = F.transform(starts, lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(starts, j + 1) - p, F.lit(WINDOW))))
+        return F.aggregate(spans, F.lit(0), lambda a, x: a + x)
+
+    return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes))
+
+
 def counted(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed.
 
@@ -31,27 +59,16 @@ def counted(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     """
     first = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     split = first.select(*keep, "_text", words_of(F.col("_text")).alias("_words"), F.filter(F.split("_text", "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0).alias("_lines"))
-    hashed = split.withColumn("_n", F.size("_words")).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    at = lambda i, k: F.get(F.col("_hashes"), i + k)
-    windows = F.when(F.col("_n") >= WINDOW, F.transform(F.slice("_hashes", 1, F.col("_n") - (WINDOW - 1)), lambda h, i: F.xxhash64(h, *[at(i, k) for k in range(1, WINDOW)])))
-    hashed = hashed.withColumn("_windows", F.coalesce(windows, F.array().cast("array<bigint>")))
-    # array_distinct keeps the cost linear; only texts where a window repeats go on to the positions.
-    hashed = hashed.withColumn("_repeats", F.size("_windows") > F.size(F.array_distinct("_windows")))
-    keyed = F.when(F.col("_repeats"), F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    hashed = hashed.withColumn("_keyed", keyed)
-    again = lambda x, j: (x["h"] == F.get(F.col("_keyed"), j + 1)["h"]) | ((j > 0) & (x["h"] == F.get(F.col("_keyed"), F.greatest(j - 1, F.lit(0)))["h"]))
-    hashed = hashed.withColumn("_starts", F.sort_array(F.transform(F.filter("_keyed", lambda x, j: F.coalesce(again(x, j), F.lit(False))), lambda x: x["i"])))
-    covered = F.aggregate(F.transform("_starts", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("_starts"), j + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
-    made = hashed.select(
+    made = split.select(
         *keep,
         "_text",
         "_words",
         "_lines",
-        F.col("_n").cast("long").alias("n_words"),
+        F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         (F.size(F.split("_text", SYMBOLS)) - 1).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        repeated_words(F.col("_words")).cast("long").alias("n_repeat_words"),
     )
     return made.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
@@ -78,7 +95,7 @@ def estimate(sample: DataFrame, names: Iterable[str], found: dict[str, Column])
     sample.agg(F.count(F.lit(1))).collect()
     for name in names:
         began = time.perf_counter()
-        row = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(found[name]).alias("bad")).collect()[0]
+        row = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("base_failed") & found[name]).alias("bad")).collect()[0]
         out.append((name, row["bad"] / max(1, row["n"]), time.perf_counter() - began))
     return out
 
@@ -96,7 +113,7 @@ def judged(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     """
     made, found = counted(docs, text, keep), rules()
     if order is None:
-        sample = counted(docs.limit(SAMPLE_ROWS), text, keep).where(~F.col("base_failed")).persist()
+        sample = counted(docs.limit(SAMPLE_ROWS), text, keep).persist()
         order = ordered(estimate(sample, found, found))
         sample.unpersist()
     verdict = F.when(F.col("base_failed"), "base")
