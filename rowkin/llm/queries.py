@@ -24,7 +24,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_rules
 
     made = quality_rules.judged(table(spark, sf_dir, "documents"))
-    return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+    return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query
@@ -44,3 +44,71 @@ SELECT doc_id,
        sha256(k) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY k ORDER BY length(t) DESC, doc_id)
 """
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    made = mixing.mix(table(spark, sf_dir, "documents"))
+    return made.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "copies")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    made = warc.archived(table(spark, sf_dir, "pages"))
+    return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import chat
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tricky = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.formatted(turns, path), path)
+
+
+ORACLE_SQL["op3_chat_formatting"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(role) + length(text)
+        + 2 * length('turn>') + length('</role>') + 3
+        + length(regexp_replace(role || text, '[^\\]', '', 'g'))
+        + len(regexp_extract_all(role, '<(turn>|/role>|/turn>)'))
+        + len(regexp_extract_all(text, '<(turn>|/role>|/turn>)')) AS shown FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(shown) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language_id
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out())
+    profiles = language_id.learn(docs.where("NOT held_out"))
+    return language_id.identified(docs, profiles, keep=("doc_id", "held_out"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from . import packing
+
+    made = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
