@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -79,3 +80,41 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+#: Chunks whose pieces a worker remembers at most.
+CACHE = 400_000
+
+
+class Pieces(dict):
+    """CRC-32 values (bytes, uint32) of the words and the marks in a chunk of lower-cased text."""
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(self) > CACHE:
+            self.clear()
+        if chunk.isalnum():
+            found = [chunk]
+        else:
+            found = [x.encode() for x in PIECE.findall(chunk.decode())]
+        self[chunk] = made = np.array([zlib.crc32(x) for x in found], np.uint32).tobytes()
+        return made
+
+
+PIECE = re.compile(r"\w+|[^\w\s]+")
+_pieces = Pieces()
+
+
+def pieces(text: str | None) -> np.ndarray:
+    """The words and the runs of marks of a text, lower-cased, as uint32 CRC-32 values."""
+    chunks = (text or "").lower().encode("utf-8", "replace").split()
+    return np.frombuffer(b"".join([_pieces[x] for x in chunks]), np.uint32)
+
+
+def label_sample(labels: DataFrame, rows: int, label: str = "quality") -> tuple[DataFrame, float]:
+    """(_doc, _good) of at most ``rows`` labelled documents, by hash of the id, and the share of good ones of all.
+
+    Null ids and labels are left out; a document labelled twice is good if all its labels are. Without labels the share is 1.
+    """
+    each = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_doc")).agg((F.min(label) > 0).alias("_good"))
+    share = each.agg(F.avg(F.col("_good").cast("double"))).first()[0]
+    return each.orderBy(uniform("_doc", seed=3), "_doc").limit(rows), 1.0 if share is None else share

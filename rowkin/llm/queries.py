@@ -112,3 +112,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     made = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality_classifier
+
+    return quality_classifier.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lm_scoring
+
+    return lm_scoring.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
