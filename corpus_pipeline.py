@@ -1,10 +1,54 @@
-"""The corpus pipeline (stages follow)."""
-STAGES = []
+"""From raw documents to packed sequences: five stages, each written and read by the next.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame. It works on every row its
+predecessor kept, and all but the last return the columns of documents. Stages don't
+read what an earlier stage read: a part that fails is done again from the written table.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from rowkin.llm import exact_dedup, mixing, near_dedup, packing, quality_classifier
+from rowkin.llm.common import written
+
+#: SQL can't express the classifier, the sketches or the tokens.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_classifier.selected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.deduplicated(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeated(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("exact dedup", drop_exact_copies),
+    ("minhash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed pieces of ``documents``; every stage but the last is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -126,3 +126,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import lm_scoring
 
     return lm_scoring.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import near_dedup
+
+    return near_dedup.grouped(table(spark, sf_dir, "documents"))
