@@ -14,11 +14,13 @@ places of their pieces.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,14 +30,18 @@ WINDOW, PACKET = 4096, 512
 #: Documents of one queue part and rounds of one stream part, about.
 PART_ROWS, PART_ROUNDS = 2000, 256
 #: Chunks of text whose ids a worker keeps at most.
-CACHE = 400_000
+CACHE = 700_000
+#: Texts that are encoded together.
+TOGETHER = 1000
 
 
 class Chunks(dict):
     """ids, as little-endian bytes, of chunks of text without ASCII white space.
 
-    Holds for tokenizers that drop white space and never join what it parts, such as word BPE.
-    A sentence mark after an ASCII letter is a word of its own there, and is looked up apart.
+    Holds for tokenizers that lower the case, drop white space, end each word in a token of
+    its own and take runs of letters, single digits and runs of other marks for words. Words
+    not met before are encoded together, parted by spaces. Chunks with other characters than
+    ASCII and Latin-1 letters, or with an apostrophe, are encoded one by one.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,16 +49,63 @@ class Chunks(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def __missing__(self, chunk: bytes) -> bytes:
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+
+    def encoded(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def learn(self, new: list[str]) -> None:
+        """Adds the chunks ``new``."""
+        parts, words = {}, set()
+        for chunk in new:
+            if chunk.isascii() and chunk.isalpha():
+                words.add(chunk)
+            elif "<|" not in chunk and PLAIN.fullmatch(chunk):
+                parts[chunk] = own = WORD.findall(chunk)
+                words.update(own)
+            else:
+                self[chunk] = self.encoded(chunk)
+        words = [x for x in words if x not in self]
+        if words:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
+            if len(ends) != len(words):
+                raise ValueError("this tokenizer does not keep words apart")
+            data, at = ids.tobytes(), 0
+            for word, end in zip(words, ends):
+                self[word] = data[at:end]
+                at = end
+        for chunk, own in parts.items():
+            self[chunk] = b"".join([self[x] for x in own])
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, as bytes; a null text has none. Each different chunk is looked up once."""
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
         if len(self) > CACHE:
             self.clear()
-        if chunk[-1] in b".,!?" and chunk[-2:-1].isalpha():
-            made = self[chunk[:-1]] + self[chunk[-1:]]
-        else:
-            made = np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-        self[chunk] = made
-        return made
+        distinct = coded.dictionary.to_pylist()
+        new = [x for x in distinct if x not in self]
+        if new:
+            self.learn(new)
+        found = [self[x] for x in distinct]
+        known = np.frombuffer(b"".join(found), self.kind)
+        each = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        index = coded.indices.to_numpy()
+        n = each[index]
+        first = np.concatenate([[0], np.cumsum(n)])
+        ids = known[np.repeat((np.cumsum(each) - each)[index] - first[:-1], n) + np.arange(first[-1])] if len(index) else known
+        ends = first[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])]
+
+
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+PLAIN = re.compile(f"(?:[{LETTERS}]|[!-&(-~])+")
+WORD = re.compile(f"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 
 
 @lru_cache(maxsize=2)
@@ -68,7 +121,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_i
         known = chunks(path)
         end, size = np.array([end_id], known.kind).tobytes(), known.kind.itemsize
         for b in batches:
-            made = [b"".join([known[w] for w in (x or b"").split()]) + end for x in b.column("_text").cast(pa.binary()).to_pylist()]
+            made = [x + end for i in range(0, len(b), TOGETHER) for x in known.of(b.column("_text").slice(i, TOGETHER))]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) // size for x in made], pa.int64()), pa.array(made, pa.binary())], ["_uid", "_id", "_source", "_n", "_ids"])
 
     return written(plain.mapInArrow(encode, "_uid long, _id long, _source string, _n long, _ids binary"), "tokens")
