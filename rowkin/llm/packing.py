@@ -83,7 +83,7 @@ class Chunks(dict):
     def of(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as bytes; a null text has none. Each different chunk is looked up once."""
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
-            texts = pc.ascii_lower(texts)
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), MARKED, r"\1 \2")
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
         if len(self) > CACHE:
@@ -104,6 +104,8 @@ class Chunks(dict):
 
 
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: A letter and the mark after it are parts of two words; parted by a space, they need no look-up together.
+MARKED = f"([{LETTERS}])([.,!?#$%&*])"
 PLAIN = re.compile(f"(?:[{LETTERS}]|[!-&(-~])+")
 WORD = re.compile(f"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 
@@ -180,24 +182,23 @@ def packed(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = chunks(path).kind
-        size = kind.itemsize
         for b in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for one, src, n, ids, found in zip(*(b.column(i) for i in range(5))):
-                one, src, n, ids = one.as_py(), src.as_py(), n.as_py(), ids.as_py()
-                rows = [[x["start"], x["length"], x["sequence_id"], x["offset"]] for x in sorted(found.as_py(), key=lambda x: x["start"])]
-                joined = rows[:1]
-                for x in rows[1:]:
-                    y = joined[-1]
-                    if x[2] == y[2] and x[3] == y[3] + y[1] and x[0] == y[0] + y[1]:
-                        y[1] += x[1]
-                    else:
-                        joined.append(x)
-                for start, length, seq, off in joined:
-                    cut_ = np.frombuffer(ids, kind, length, start * size).astype("<u4").tobytes()
-                    for to, v in zip(out, (one, src, start, length, n, seq, off, cut_)):
-                        to.append(v)
-            kinds = [pa.int64(), pa.string(), *[pa.int64()] * 5, pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+            found = b.column("_pieces")
+            doc = np.repeat(np.arange(len(b)), np.diff(found.offsets.to_numpy()))
+            flat = found.flatten()
+            start, length, seq, offset = (flat.field(i).to_numpy() for i in range(4))
+            order = np.lexsort((start, doc))
+            doc, start, length, seq, offset = (x[order] for x in (doc, start, length, seq, offset))
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (seq[1:] != seq[:-1]) | (offset[1:] != offset[:-1] + length[:-1])
+            at = np.flatnonzero(new)
+            length = np.add.reduceat(length, at) if len(at) else length
+            # The pieces of a document, in order, are all its ids; so are those of a batch.
+            ids = np.frombuffer(b"".join(b.column("_ids").to_pylist()), kind).astype("<u4")
+            ends = np.concatenate([[0], np.cumsum(length)]) * 4
+            data = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
+            rows = pa.array(doc[at])
+            cols = [b.column("_id").take(rows), b.column("_source").take(rows), pa.array(start[at]), pa.array(length), b.column("_n").take(rows), pa.array(seq[at]), pa.array(offset[at]), data.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     return both.mapInArrow(pieces, "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
