@@ -9,8 +9,9 @@ shingles decides: common shingles in order over all shingles, ``SIMILARITY`` or
 
 Equal texts (by words, lower-cased) are one node before any key is compared. In a bucket every
 node is held against the bucket's first node, not against each other, so a group of copies
-costs as many comparisons as it has members. Members that a first node rejects, and that no
-other bucket has joined to it, form the bucket anew, until every bucket is used up.
+costs as many comparisons as it has members. Members that the first node rejects, and that no
+other bucket has joined to it, form the bucket anew with its next 4, 16, 64 ... nodes to be held
+against, until every bucket is used up.
 Classes are the components of the links. Texts never move: nodes travel as digests, and only
 nodes with a candidate send their words (4 bytes each) to be aligned.
 """
@@ -221,11 +222,11 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     nodes = written(nodes, "nodes")
     entries = nodes.select("node", F.explode("keys").alias("key"))
     first = entries.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key", "a")
-    members = cut(entries.join(first, "key").where("node != a").select("key", "a", F.col("node").alias("b")))
+    members = cut(entries.join(first, "key").where("node != a").select("key", "a", F.col("node").alias("b"), F.lit(False).alias("first")))
     ends = members.select(F.col("a").alias("_w")).union(members.select(F.col("b"))).distinct()
     wanted = cut(ends.join(nodes.select("node", "_first"), F.col("_w") == F.col("node")).select("_w", "_first"))
     words = sequences(plain, F.col("_text"), wanted)
-    known = None
+    known, leaders = None, 1
     while True:
         pairs = members.select("a", "b").distinct()
         if known is not None:
@@ -234,9 +235,14 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
         known = new if known is None else cut(known.union(new))
         roots = components(known.where("similar"))
         ra, rb = roots.select(F.col("node").alias("_na"), F.col("root").alias("_ra")), roots.select(F.col("node").alias("_nb"), F.col("root").alias("_rb"))
-        apart = members.join(known.where("NOT similar").select("a", "b"), ["a", "b"]).join(ra, F.col("a") == F.col("_na"), "left").join(rb, F.col("b") == F.col("_nb"), "left").where("_ra IS NULL OR _rb IS NULL OR _ra != _rb").select("key", F.col("b").alias("node"))
-        first = apart.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key", "a")
-        members = cut(apart.join(first, "key").where("node != a").select("key", "a", F.col("node").alias("b")))
+        met = members.where("NOT first").join(ra, F.col("a") == F.col("_na"), "left").join(rb, F.col("b") == F.col("_nb"), "left")
+        apart = met.groupBy("key", F.col("b").alias("node")).agg(F.max(F.coalesce(F.col("_ra") == F.col("_rb"), F.lit(False))).alias("_met")).where("NOT _met")
+        # All of a bucket's leaders have been held against all its members; what is apart from them goes on, with more leaders.
+        leaders *= 4
+        place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        pool = cut(apart.select("key", "node", place.alias("n")))
+        first = pool.where(F.col("n") <= leaders).select("key", F.col("node").alias("a"), F.col("n").alias("_m"))
+        members = cut(pool.join(first, "key").where("_m < n").select("key", "a", F.col("node").alias("b"), (F.col("n") <= leaders).alias("first")))
         if members.isEmpty():
             break
     all_ = nodes.select("node", "_first", "_copies").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "_first", "_copies", F.coalesce("root", "node").alias("root"))
