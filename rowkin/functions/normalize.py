@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..constants import ABBREVIATIONS, LEGAL_WORDS, WEB_ADDRESS
 
@@ -41,7 +42,7 @@ def fold(text: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_any(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: fold(x) if x and not x.isascii() else x)
 

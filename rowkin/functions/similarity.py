@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def common(a: str, b: str) -> int:
@@ -49,7 +50,7 @@ def token_set(a: str, b: str) -> float:
     if both and (not left or not right):
         return 100.0
     one, two, shared = " ".join(both + left), " ".join(both + right), " ".join(both)
-    return max(ratio(one, two), *((ratio(shared, one), ratio(shared, two)) if both else ()))
+    return max([ratio(one, two), *((ratio(shared, one), ratio(shared, two)) if both else ())])
 
 
 def partial(a: str, b: str) -> float:
@@ -120,10 +121,10 @@ def _each(f, a: pd.Series, b: pd.Series) -> list:
     return [made[i] for i in codes]
 
 
-def scorer(f, kind: str = "double"):
+def scorer(f):
     """An Arrow function of two string columns from a function of two texts."""
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf(DoubleType())
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(_each(f, a, b))
 
@@ -140,8 +141,8 @@ FULL_SCORES = [
 ]
 
 
-def _struct(names: list[str]) -> str:
-    return ", ".join(f"{n} double" for n in names)
+def _struct(names: list[str]) -> StructType:
+    return StructType([StructField(n, DoubleType()) for n in names])
 
 
 @F.pandas_udf(_struct(SCREEN_SCORES))
@@ -173,7 +174,7 @@ def full_scores() -> Column:
     return _full(*_fields())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def best_number_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The best ratio (0 to 1) of a number of one array with one of the other; 0 if either is empty."""
     return pd.Series([max((ratio(u, v) / 100 for u in x for v in y), default=0.0) for x, y in zip(a, b)], dtype=np.float64)

@@ -70,11 +70,15 @@ def _families() -> dict[str, Column]:
     }
 
 
+def _tagged(tag: str, found: Column) -> Column:
+    return F.transform(F.array_distinct(found), lambda x: F.struct(F.lit(tag).alias("tag"), x.alias("key")))
+
+
 def keys(records: DataFrame, tags: list[str] | None = None, keep: tuple[str, ...] = ("entity_id", "country")) -> DataFrame:
     """``keep``, tag, key: every different key of each record, of the families ``tags`` (all by default)."""
     found = _families()
     parts = records.withColumns(_parts())
-    all_ = F.flatten(F.array(*[F.transform(F.array_distinct(found[t]), lambda x, t=t: F.struct(F.lit(t).alias("tag"), x.alias("key"))) for t in tags or found]))
+    all_ = F.flatten(F.array(*[_tagged(t, found[t]) for t in tags or found]))
     return parts.select(*keep, F.explode(all_).alias("_key")).select(*keep, "_key.tag", "_key.key")
 
 

@@ -24,7 +24,7 @@ def part_of(group: Column) -> Column:
 
 def exploded_truth(truth: DataFrame) -> DataFrame:
     """anchor, candidate of each listed match; blanks are dropped, repeats counted once."""
-    ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), F.trim), lambda x: x != ""))
+    ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""))
     return truth.select(F.col("source1_entity_id").alias("anchor"), F.explode(ids).alias("candidate")).distinct()
 
 
