@@ -86,7 +86,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 #: Chunks whose pieces a worker remembers at most.
-CACHE = 400_000
+CACHE = 150_000
 
 
 class Pieces(dict):

@@ -30,7 +30,7 @@ WINDOW, PACKET = 4096, 512
 #: Documents of one queue part and rounds of one stream part, about.
 PART_ROWS, PART_ROUNDS = 2000, 256
 #: Chunks of text whose ids a worker keeps at most.
-CACHE = 700_000
+CACHE = 400_000
 #: Texts that are encoded together.
 TOGETHER = 1000
 
@@ -49,6 +49,7 @@ class Chunks(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.older: dict[str, bytes] = {}
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -86,10 +87,17 @@ class Chunks(dict):
             texts = pc.replace_substring_regex(pc.ascii_lower(texts), MARKED, r"\1 \2")
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
-        if len(self) > CACHE:
+        if len(self) > CACHE // 2:  # what is not asked for again within as many chunks is forgotten
+            self.older = dict(self)
             self.clear()
         distinct = coded.dictionary.to_pylist()
-        new = [x for x in distinct if x not in self]
+        new = []
+        for x in distinct:
+            if x not in self:
+                if x in self.older:
+                    self[x] = self.older[x]
+                else:
+                    new.append(x)
         if new:
             self.learn(new)
         found = [self[x] for x in distinct]
