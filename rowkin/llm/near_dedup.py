@@ -8,8 +8,8 @@ similarity. Documents with a key in common are candidates; a banded alignment of
 shingles decides: common shingles in order over all shingles, ``SIMILARITY`` or more.
 
 Equal texts (by words, lower-cased) are one node before any key is compared. In a bucket every
-node is held against the bucket's first node, not against each other, so a group of copies
-costs as many comparisons as it has members. Members that the first node rejects, and that no
+node is held against the bucket's most central node, not against each other, so a group of copies
+costs as many comparisons as it has members. Members that this node rejects, and that no
 other bucket has joined to it, form the bucket anew with its next 4, 16, 64 ... nodes to be held
 against, until every bucket is used up.
 Classes are the components of the links. Texts never move: nodes travel as digests, and only
@@ -32,6 +32,8 @@ from .common import cut, mix64, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
+#: Functions that are looked at first.
+EARLY = 4
 #: Shingles that a sketch is made of at a time; longer texts are read block by block.
 BLOCK = 1 << 16
 ODD = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -167,87 +169,146 @@ def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool =
     return plain.mapInArrow(make, out.add("n", "long").add("keys", ArrayType(LongType())) if keys else out)
 
 
-def sequences(docs: DataFrame, text: Column, wanted: DataFrame) -> DataFrame:
-    """node, words (uint32 hashes as bytes) of the ``wanted`` nodes, one row each, in the shared folder."""
+def marked(nodes: DataFrame) -> np.ndarray:
+    """A bit for each first three bytes of a digest, set where a row of ``nodes`` has them: 2 MB, whatever the number of rows."""
+    prefix = F.conv(F.hex(F.substring("node", 1, 3)), 16, 10).cast("long")
+    rows = nodes.groupBy(F.shiftright(prefix, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(conv(hex(substring(node, 1, 3)), 16, 10) AS INT) & 63)")).alias("bits")).toPandas()
+    bits = np.zeros(1 << 18, np.int64)
+    bits[rows["at"]] = rows["bits"]
+    return bits
+
+
+def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, words (uint32 hashes as bytes) of the ``wanted`` nodes (id, node), one row each, in the shared folder.
+
+    Most other texts stop at the bit map, before anything is shuffled; the join stops the rest.
+    """
+    bits = marked(wanted)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("_text").to_pylist()
-            nodes = [digest((x or "").lower().encode("utf-8", "replace").split()) for x in texts]
-            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(nodes, pa.binary()), pa.array([word_hashes(x).tobytes() for x in texts], pa.binary())], ["_id", "node", "words"])
+            nodes, found = [], []
+            for x in b.column("_text").to_pylist():
+                node = digest((x or "").lower().encode("utf-8", "replace").split())
+                at = int.from_bytes(node[:3], "big")
+                if int(bits[at >> 6]) >> (at & 63) & 1:
+                    nodes.append(node)
+                    found.append(word_hashes(x).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(found, pa.binary())], ["node", "words"])
 
-    made = docs.mapInArrow(make, "_id long, node binary, words binary")
-    found = made.join(wanted, (made["node"] == wanted["_w"]) & made["_id"].eqNullSafe(wanted["_first"]), "left_semi")
-    return written(found.select("node", "words"), "sequences").dropDuplicates(["node"])
+    made = docs.select("_text").mapInArrow(make, "node binary, words binary")
+    # Equal texts meet once; which of their equal rows stays does not matter.
+    return written(made.join(wanted, "node").groupBy("id").agg(F.first("words").alias("words")), "sequences")
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """a, b, similar of each row (a, b) of ``pairs``."""
-    left, right = words.select(F.col("node").alias("a"), F.col("words").alias("_x")), words.select(F.col("node").alias("b"), F.col("words").alias("_y"))
+    left, right = words.select(F.col("id").alias("a"), F.col("words").alias("_x")), words.select(F.col("id").alias("b"), F.col("words").alias("_y"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= SIMILARITY for x, y in zip(b.column("_x").to_pylist(), b.column("_y").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(made, pa.bool_())], ["a", "b", "similar"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(compare, "a binary, b binary, similar boolean")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(compare, "a long, b long, similar boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, root (the smallest node of its component) of every node in ``links`` (a, b).
+    """id, root (the smallest id of its component) of every node in ``links`` (a, b).
 
     Each step takes the smallest root among a node and its neighbours, then the root's own root.
-    Sums of a hot node are partial before they are shuffled.
+    Minima of a hot node are partial before they are shuffled.
     """
     edges = cut(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    now = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
+    now = edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("root"))
     while True:
-        seen = edges.join(now, edges["b"] == now["node"]).groupBy("a").agg(F.min("root").alias("_m"))
-        low = now.join(seen, now["node"] == seen["a"]).select("node", F.col("root").alias("_old"), F.least("root", "_m").alias("_r"))
-        up = now.select(F.col("node").alias("_n2"), F.col("root").alias("_r2"))
-        new = cut(low.join(up, low["_r"] == up["_n2"]).select("node", F.least("_r", "_r2").alias("root"), (F.least("_r", "_r2") != F.col("_old")).alias("_moved")))
-        now, moved = new.drop("_moved"), not new.where("_moved").isEmpty()
-        if not moved:
-            return now
+        now = cut(now)
+        seen = edges.join(now, edges["b"] == now["id"]).groupBy("a").agg(F.min("root").alias("_m"))
+        low = now.join(seen, now["id"] == seen["a"]).select("id", F.col("root").alias("_old"), F.least("root", "_m").alias("_r"))
+        up = now.select(F.col("id").alias("_n2"), F.col("root").alias("_r2"))
+        new = cut(low.join(up, low["_r"] == up["_n2"]).select("id", F.least("_r", "_r2").alias("root"), (F.least("_r", "_r2") != F.col("_old")).alias("_moved")))
+        if new.where("_moved").isEmpty():
+            return new.drop("_moved")
+        now = new.drop("_moved")
+
+
+def centrality(nodes: DataFrame) -> DataFrame:
+    """id, score of the nodes that share a key of the early functions: the sizes of their buckets, summed.
+
+    A text that others were made from shares keys with more of them than they do with each other.
+    """
+    each = nodes.select("id", F.explode(F.slice("keys", 1, EARLY)).alias("key"))
+    sizes = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return cut(each.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("score")))
+
+
+def early_entries(nodes: DataFrame, scores: DataFrame) -> DataFrame:
+    """key, id, score of the nodes that share a key of the early functions."""
+    shared = nodes.join(scores, "id").select("id", "score", F.explode(F.slice("keys", 1, EARLY)).alias("key"))
+    return shared.select("key", "id", "score")
+
+
+def all_entries(nodes: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, id, score: of each bucket the most central and the first node of every component there, if there are two components or more."""
+    known = nodes.select("id", "keys").join(scores, "id", "left").join(roots, "id", "left")
+    each = known.select("id", F.coalesce("score", F.lit(0)).alias("score"), F.coalesce("root", "id").alias("root"), F.explode("keys").alias("key"))
+    spans = each.groupBy("key", "root").agg(F.max(F.struct("score", "id")).alias("top"), F.min(F.struct("id", "score")).alias("low"))
+    shared = spans.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
+    both = F.array_distinct(F.array(F.struct("top.id", "top.score"), F.struct("low.id", "low.score")))
+    return spans.join(shared, "key", "left_semi").select("key", F.explode(both).alias("_n")).select("key", "_n.id", "_n.score")
+
+
+def held_against(pool: DataFrame, leaders: int) -> DataFrame:
+    """key, a, b, score, first: every node of a bucket with each of the bucket's ``leaders`` most central nodes before it."""
+    if leaders == 1:
+        ahead = pool.groupBy("key").agg(F.max(F.struct("score", "id")).alias("_a")).select("key", F.col("_a.id").alias("a"))
+        return cut(pool.join(ahead, "key").where("id != a").select("key", "a", F.col("id").alias("b"), "score", F.lit(False).alias("first")))
+    ranked = pool.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), F.desc("id"))))
+    ahead = ranked.where(F.col("n") <= leaders).select("key", F.col("id").alias("a"), F.col("n").alias("_m"))
+    return cut(ranked.join(ahead, "key").where("_m < n").select("key", "a", F.col("id").alias("b"), "score", (F.col("n") <= leaders).alias("first")))
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(rows, nodes). rows: _id, node of each row of ``docs``. nodes: node, _first (smallest id), _copies, root, class_id, class_size.
+    """(rows, nodes). rows: _id, node of each row of ``docs``. nodes: node, id, _first (smallest doc id), class_id, class_size, _stays.
 
-    class_id: the smallest id in the class. A text without a word (null, blank) is near to such texts only.
+    class_id: the smallest doc id in the class. A text without a word (null, blank) is near to such texts only.
+
+    A few functions come first and join most copies, to the most central text of their bucket; then, of all
+    buckets, only one or two nodes a component are looked at, so a large group of near copies is small by then.
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
     rows = written(sketched(plain, F.col("_text"), ("_id",)), "sketches")
     nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("keys").alias("keys"))
-    nodes = written(nodes, "nodes")
-    entries = nodes.select("node", F.explode("keys").alias("key"))
-    first = entries.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key", "a")
-    members = cut(entries.join(first, "key").where("node != a").select("key", "a", F.col("node").alias("b"), F.lit(False).alias("first")))
-    ends = members.select(F.col("a").alias("_w")).union(members.select(F.col("b"))).distinct()
-    wanted = cut(ends.join(nodes.select("node", "_first"), F.col("_w") == F.col("node")).select("_w", "_first"))
-    words = sequences(plain, F.col("_text"), wanted)
-    known, leaders = None, 1
-    while True:
-        pairs = members.select("a", "b").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        new = cut(verified(pairs, words))
-        known = new if known is None else cut(known.union(new))
-        roots = components(known.where("similar"))
-        ra, rb = roots.select(F.col("node").alias("_na"), F.col("root").alias("_ra")), roots.select(F.col("node").alias("_nb"), F.col("root").alias("_rb"))
-        met = members.where("NOT first").join(ra, F.col("a") == F.col("_na"), "left").join(rb, F.col("b") == F.col("_nb"), "left")
-        apart = met.groupBy("key", F.col("b").alias("node")).agg(F.max(F.coalesce(F.col("_ra") == F.col("_rb"), F.lit(False))).alias("_met")).where("NOT _met")
-        # All of a bucket's leaders have been held against all its members; what is apart from them goes on, with more leaders.
-        leaders *= 4
-        place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        pool = cut(apart.select("key", "node", place.alias("n")))
-        first = pool.where(F.col("n") <= leaders).select("key", F.col("node").alias("a"), F.col("n").alias("_m"))
-        members = cut(pool.join(first, "key").where("_m < n").select("key", "a", F.col("node").alias("b"), (F.col("n") <= leaders).alias("first")))
-        if members.isEmpty():
-            break
-    all_ = nodes.select("node", "_first", "_copies").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "_first", "_copies", F.coalesce("root", "node").alias("root"))
-    each = all_.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("class_id"), F.sum("_copies").alias("class_size"), F.min(F.struct(F.col("_first").isNull().alias("x"), F.col("_first").alias("y"), F.col("node").alias("z"))).alias("_best"))
-    return rows.select("_id", "node"), all_.join(each, F.col("root") == F.col("_r")).select("node", "_first", "_copies", "root", "class_id", "class_size", F.col("_best.z").alias("_stays"))
+    nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    known = words = roots = None
+    scores = centrality(nodes)
+    for early in (True, False):
+        leaders = 1
+        members = held_against(cut(early_entries(nodes, scores) if early else all_entries(nodes, scores, roots)), leaders)
+        ends = members.select(F.col("a").alias("id")).union(members.select("b")).distinct()
+        new_ends = ends if words is None else ends.join(words, "id", "left_anti")
+        new_words = sequences(plain, cut(new_ends.join(nodes.select("id", "node"), "id")))
+        words = new_words if words is None else words.union(new_words)
+        while True:
+            pairs = members.select("a", "b").distinct()
+            new = cut(verified(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), words))
+            known = new if known is None else known.union(new)
+            if roots is None or not new.where("similar").isEmpty():
+                roots = components(known.where("similar"))
+            if early:
+                break
+            ra, rb = roots.select(F.col("id").alias("_na"), F.col("root").alias("_ra")), roots.select(F.col("id").alias("_nb"), F.col("root").alias("_rb"))
+            met = members.where("NOT first").join(ra, F.col("a") == F.col("_na"), "left").join(rb, F.col("b") == F.col("_nb"), "left")
+            apart = met.groupBy("key", F.col("b").alias("id"), "score").agg(F.max(F.coalesce(F.col("_ra") == F.col("_rb"), F.lit(False))).alias("_met")).where("NOT _met").select("key", "id", "score")
+            # All of a bucket's leaders have been held against all its members; what is apart from them goes on, with more leaders.
+            leaders *= 4
+            members = held_against(cut(apart), leaders)
+            if members.isEmpty():
+                break
+    all_ = nodes.select("node", "id", "_first", "_copies").join(roots.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("node", "id", "_first", "_copies", F.coalesce("root", "id").alias("root"))
+    each = all_.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("class_id"), F.sum("_copies").alias("class_size"), F.min(F.struct(F.col("_first").isNull().alias("x"), F.col("_first").alias("y"), F.col("id").alias("z"))).alias("_best"))
+    each = each.withColumn("_s", F.col("_best.z"))
+    return rows.select("_id", "node"), all_.join(each, F.col("root") == F.col("_r")).select("node", "_first", "class_id", "class_size", (F.col("id") == F.col("_s")).alias("_stays"))
 
 
 def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -258,14 +319,14 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     rows, nodes = classes(docs, text, doc_id)
     turn = F.row_number().over(Window.partitionBy("node", "_id").orderBy("_id"))
     each = rows.withColumn("_turn", turn).join(nodes, "node")
-    kept = (F.col("node") == F.col("_stays")) & F.col("_id").eqNullSafe(F.col("class_id")) & (F.col("_turn") == 1)
+    kept = F.col("_stays") & F.col("_id").eqNullSafe(F.col("class_id")) & (F.col("_turn") == 1)
     return each.select(F.col("_id").alias(doc_id), "class_id", "class_size", kept.alias("kept"))
 
 
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of ``docs`` of each class, columns unchanged."""
     _, nodes = classes(docs, text, doc_id)
-    stays = nodes.where(F.col("node") == F.col("_stays")).select(F.col("node").alias("_w"), F.col("class_id").alias("_c"))
+    stays = nodes.where("_stays").select(F.col("node").alias("_w"), F.col("class_id").alias("_c"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     made = sketched(whole, F.col(f"_row.`{text}`"), ("_row",), keys=False)
     found = made.join(stays, (F.col("node") == F.col("_w")) & F.col(f"_row.`{doc_id}`").cast("long").eqNullSafe(F.col("_c")), "left_semi")
