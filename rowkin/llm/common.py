@@ -96,10 +96,10 @@ class Pieces(dict):
         if len(self) > CACHE:
             self.clear()
         if chunk.isalnum():
-            found = [chunk]
+            made = zlib.crc32(chunk).to_bytes(4, "little")
         else:
-            found = [x.encode() for x in PIECE.findall(chunk.decode())]
-        self[chunk] = made = np.array([zlib.crc32(x) for x in found], np.uint32).tobytes()
+            made = b"".join([zlib.crc32(x.encode()).to_bytes(4, "little") for x in PIECE.findall(chunk.decode())])
+        self[chunk] = made
         return made
 
 
@@ -110,7 +110,7 @@ _pieces = Pieces()
 def pieces(text: str | None) -> np.ndarray:
     """The words and the runs of marks of a text, lower-cased, as uint32 CRC-32 values."""
     chunks = (text or "").lower().encode("utf-8", "replace").split()
-    return np.frombuffer(b"".join([_pieces[x] for x in chunks]), np.uint32)
+    return np.frombuffer(b"".join(map(_pieces.__getitem__, chunks)), "<u4")
 
 
 def label_sample(labels: DataFrame, rows: int, label: str = "quality") -> tuple[DataFrame, float]:
