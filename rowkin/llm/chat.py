@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 #: Rendered forms of the reserved ids, which follow the vocabulary in this order.
 CONTROL = ("<turn>", "</role>", "</turn>")
 OPEN, SAID, CLOSE = range(3)
@@ -77,7 +79,7 @@ def formatted(turns: DataFrame, path: str, conv_id: str = "conv_id", turn: str =
     plain = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             made = [assemble(x, y, path) for x, y in zip(b.column("role").to_pylist(), b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("conv_id"), b.column("turn"), pa.array([x.tolist() for x, _ in made], pa.list_(pa.int32())), pa.array([y.tolist() for _, y in made], pa.list_(pa.bool_()))], ["conv_id", "turn", "ids", "loss_mask"])
 

@@ -6,8 +6,10 @@ import re
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,15 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, (text or "").lower().encode("utf-8", "replace").split()), np.uint32)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``: a worker then holds few texts at a time as Python objects."""
+    for b in batches:
+        if not len(b):
+            yield b
+        for i in range(0, len(b), rows):
+            yield b.slice(i, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mix of uint64 values (the finalizer of SplitMix64)."""
     x = x.astype(np.uint64, copy=True)

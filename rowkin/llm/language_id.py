@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import uniform
+from .common import small, uniform
 
 TOP, ORDERS = 300, 3
 #: Labelled rows of a language that its profile is learned from, about.
@@ -77,7 +77,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     chosen = plain.where(F.coalesce(uniform("_id", seed=5), F.lit(0.5)) < F.element_at(share, F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             by: dict[str, list] = {}
             for k, x in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 by.setdefault(k, []).append(grams(x))
@@ -115,7 +115,7 @@ def identified(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "te
     arrow = to_arrow_schema(schema)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             made = [predict(x, ready) for x in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in arrow.names], pa.array([x for x, _ in made], pa.string()), pa.array([y for _, y in made], pa.float64())], [*arrow.names, "lang_pred", "score"])
 

@@ -28,14 +28,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import cut, mix64, word_hashes, written
+from .common import cut, mix64, small, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
 #: Functions that are looked at first.
 EARLY = 4
 #: Shingles that a sketch is made of at a time; longer texts are read block by block.
-BLOCK = 1 << 16
+BLOCK = 1 << 12
 ODD = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -150,7 +150,7 @@ def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool =
     kept = to_arrow_schema(schema)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             nodes, n, found = [], [], []
             for x in b.column("_text").to_pylist():
                 words = (x or "").lower().encode("utf-8", "replace").split()
@@ -186,7 +186,7 @@ def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bits = marked(wanted)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             nodes, found = [], []
             for x in b.column("_text").to_pylist():
                 node = digest((x or "").lower().encode("utf-8", "replace").split())
@@ -206,7 +206,7 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     left, right = words.select(F.col("id").alias("a"), F.col("words").alias("_x")), words.select(F.col("id").alias("b"), F.col("words").alias("_y"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             made = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= SIMILARITY for x, y in zip(b.column("_x").to_pylist(), b.column("_y").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(made, pa.bool_())], ["a", "b", "similar"])
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, label_sample, mix64, pieces, uniform
+from .common import cut, label_sample, mix64, pieces, small, uniform
 
 BUCKETS = 1 << 16
 #: Labelled documents that the target model is fitted on, at most.
@@ -50,7 +50,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((2, BUCKETS), np.int64)
-        for b in batches:
+        for b in small(batches):
             good: list[list[np.ndarray]] = [[], []]
             for x, g in zip(b.column("_text").to_pylist(), b.column("_good").to_pylist()):
                 good[g].append(features(x))
@@ -84,7 +84,7 @@ def scored(rows: DataFrame, ratios: np.ndarray, text: Column, doc_id: Column, ke
     names, kinds = list(schema.names), to_arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             made = [float(ratios[features(x)].sum()) for x in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kinds.names], pa.array(made, pa.float64())], [*kinds.names, "log_ratio"])
 

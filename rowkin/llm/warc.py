@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder
+from .common import new_folder, small
 
 #: Equal payloads of at least so many bytes are written once.
 MIN_BYTES = 0
@@ -41,7 +41,7 @@ def with_digests(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     plain = pages.select(F.col(page_id).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"), F.coalesce(F.col(html), F.lit("")).alias("_html"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             payloads = b.column("_html").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(payload_digest, payloads), pa.string()), pa.array([hashlib.md5(x).hexdigest() for x in payloads], pa.string()), pa.array(map(len, payloads), pa.int64())], [*b.schema.names, "_digest", "_check", "_bytes"])
 
@@ -66,7 +66,7 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     kinds = kinds.withColumn("_to", F.when(revisit, F.col("_first"))).withColumn("_html", F.when(~revisit, F.col("_html")))
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([pa.array([record(**x) for x in b.to_pylist()], pa.string())], ["value"])
 
     made = kinds.select("_id", "_url", "_html", "_digest", "_bytes", "_to").mapInArrow(records, "value string")
@@ -130,7 +130,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     schema = to_arrow_schema(_parse_datatype_string(RECORD_SCHEMA))
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             for content in b.column("content"):
                 found = []
                 for x in parse(zlib.decompress(content.as_py(), 31)) if len(content.as_py()) else ():
