@@ -113,7 +113,8 @@ def judged(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     """
     made, found = counted(docs, text, keep), rules()
     if order is None:
-        sample = counted(docs.limit(SAMPLE_ROWS), text, keep).persist()
+        share = min(1.0, 4 * SAMPLE_ROWS / max(1, docs.count()))
+        sample = counted(docs.sample(share, seed=1).limit(SAMPLE_ROWS), text, keep).persist()
         order = ordered(estimate(sample, found, found))
         sample.unpersist()
     verdict = F.when(F.col("base_failed"), "base")

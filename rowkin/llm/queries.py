@@ -27,6 +27,29 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+ORACLE_SQL["op1_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM w) WHERE c > 1),
+c AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM r) GROUP BY 1),
+b AS (SELECT d.*, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM d LEFT JOIN c USING (doc_id)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (
+    n_symbols > 0.3 * n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR n_dup_lines > 0.3 * len(ls)
+    OR len(list_filter(ws, lambda w: regexp_matches(w, '\p{L}'))) < 0.6 * n_words
+    OR len(list_filter(ws, lambda w: regexp_matches(w, '\p{Lu}\p{Ll}*\p{Lu}') AND NOT regexp_matches(w, '\p{Ll}'))) > 0.5 * n_words
+    OR (n_words >= 50 AND len(list_distinct(ws)) < 0.1 * n_words)
+    OR len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) > 0.3 * len(ls)
+    OR len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[•*-]\s'))) > 0.9 * len(ls)) AS kept
+FROM f
+"""
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import exact_dedup
