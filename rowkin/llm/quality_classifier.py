@@ -103,7 +103,7 @@ def kth_largest(keys: DataFrame, k: int, fan: int = 4096) -> int | None:
     left = k
     while True:
         width = max(1, -(-(high - low + 1) // fan))
-        slot = F.floor((F.col("key") - F.lit(low)) / F.lit(width))
+        slot = F.expr(f"(key - ({low}L)) div {width}L")
         counts = keys.where(F.col("key").between(low, high)).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
         for r in sorted(counts, key=lambda r: -r["slot"]):
             if r["n"] >= left:
