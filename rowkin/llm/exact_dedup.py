@@ -58,9 +58,9 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     and tie in everything else, one stays. An empty table gives an empty result.
     """
     rows = digests(docs, text, doc_id)
-    found = rows.join(merge_tree(rows), ["_sha", "_check"])
+    # Counted before the join and on the id as well: a hot group is many keys here, and a join that Spark can split there.
     same = Window.partitionBy("_sha", "_check", "_id").orderBy("_rank")
-    found = found.withColumn("_turn", F.row_number().over(same))
+    found = rows.withColumn("_turn", F.row_number().over(same)).join(merge_tree(rows), ["_sha", "_check"])
     return found.select(
         F.col("_id").alias(doc_id),
         F.col("_best.id").alias("keep_id"),
