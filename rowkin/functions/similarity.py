@@ -59,6 +59,8 @@ def partial(a: str, b: str) -> float:
         a, b = b, a
     if not a:
         return 100.0 if not b else 0.0
+    if a in b:
+        return 100.0
     best = max(ratio(a, b[max(0, i) : i + len(a)]) for i in range(1 - len(a), len(b)))
     return max(best, partial_turned(b, a)) if len(a) == len(b) else best
 
@@ -91,7 +93,18 @@ def jaro_winkler(a: str, b: str) -> float:
 
 
 def edits(a: str, b: str) -> tuple[int, int, int]:
-    """Replacements, insertions and deletions of a shortest edit script from ``a`` to ``b``; of such, one with most replacements."""
+    """Replacements, insertions and deletions of a shortest edit script from ``a`` to ``b``.
+
+    A common start and end are matched; of the scripts for the rest, one with most replacements is taken.
+    """
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    a, b = a[start:], b[start:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    if not a or not b:
+        return 0, len(b), len(a)
     prev = [(j, 0, j, 0) for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
         row = [(i, 0, 0, i)]

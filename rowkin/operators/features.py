@@ -66,9 +66,14 @@ def contained(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.greatest(F.lit(1), smaller)
 
 
+def spread(pairs: DataFrame) -> DataFrame:
+    """``pairs`` dealt out by pair: Spark sizes tasks by bytes, but comparing strings costs time, and hot anchors have many pairs."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "anchor", "candidate")
+
+
 def scored_for_gate(pairs: DataFrame) -> DataFrame:
     """``pairs`` (x, y) with s, the screening scores 0 to 100 of every pair."""
-    return pairs.withColumn("s", screen_scores())
+    return spread(pairs).withColumn("s", screen_scores())
 
 
 def gate() -> Column:

@@ -171,7 +171,7 @@ def jw_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _kernel_query(name: str, kernel, field: str = "core") -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return rounded(pairs(spark, d).select("anchor", "candidate", similarity.scorer(kernel)(f"x.{field}", f"y.{field}").alias("similarity")))
+        return rounded(features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.scorer(kernel)(f"x.{field}", f"y.{field}").alias("similarity")))
 
     run.__name__ = name
     query()(run)
@@ -185,7 +185,7 @@ for _name, _kernel in (("indel_ratio_pairs", similarity.ratio), ("token_sort_pai
 CAST(length(replace(yc, ' ', '')) - length(replace(xc, ' ', '')) AS BIGINT) AS growth FROM pairs""")
 def edit_ops_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The sum of the edit kinds, and insertions less deletions: what all shortest scripts have in common."""
-    made = pairs(spark, d).select("anchor", "candidate", similarity.full_scores().alias("f"))
+    made = features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.full_scores().alias("f"))
     return made.select("anchor", "candidate", (F.col("f.replaced") + F.col("f.inserted") + F.col("f.deleted")).cast("long").alias("edits"), (F.col("f.inserted") - F.col("f.deleted")).cast("long").alias("growth"))
 
 
