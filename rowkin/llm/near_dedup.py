@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import cut, mix64, small, word_hashes, written
+from .common import cut, mix64, small, uniform, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
 #: Functions that are looked at first.
 EARLY = 4
+#: Nodes of a component and bucket that are held against other components at first; the number grows by GROWTH until it is all.
+FIRST, GROWTH = 64, 16
 #: Shingles that a sketch is made of at a time; longer texts are read block by block.
 BLOCK = 1 << 12
 ODD = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -268,17 +270,43 @@ def held_against(pool: DataFrame, leaders: int) -> DataFrame:
     return cut(ranked.join(ahead, "key").where("_m < n").select("key", "a", F.col("id").alias("b"), "score", (F.col("n") <= leaders).alias("first")))
 
 
+def crossing(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, id, n (shingles): all nodes of the buckets that hold two components or more."""
+    shingled = F.greatest(F.col("n") - (WORDS - 1), F.lit(1)).alias("n")
+    each = nodes.select("id", shingled, "keys").join(roots, "id", "left").select("id", "n", F.coalesce("root", "id").alias("root"), F.explode("keys").alias("key"))
+    shared = each.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y").select("key")
+    return each.join(shared, "key", "left_semi").select("key", "id", "n")
+
+
+def ranked_across(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, id, n, root, size (nodes of the component in the bucket), rank (spread evenly over the size), aside (not of the bucket's largest component)."""
+    each = entries.join(roots, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
+    spans = each.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    tops = spans.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("size", "root")).alias("_t")).where("_m > 1").select("key", F.col("_t.root").alias("_top"))
+    sized = spans.join(tops, "key").select("key", "root", "size", (F.col("root") != F.col("_top")).alias("aside"))
+    return each.join(sized, ["key", "root"]).withColumn("rank", uniform("id", seed=8) * F.col("size"))
+
+
+def pairs_across(ranked: DataFrame, most: int) -> DataFrame:
+    """a < b, once each: nodes of different components in a bucket, ranks below ``most``, whose lengths allow a link."""
+    pool = ranked.where(F.col("rank") < most)
+    one = pool.where("aside").select("key", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
+    met = one.join(pool, "key").where((F.col("root") != F.col("_r")) & (F.least("n", "_n") >= SIMILARITY * F.greatest("n", "_n")))
+    return met.select(F.least("_a", "id").alias("a"), F.greatest("_a", "id").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(rows, nodes). rows: _id, node of each row of ``docs``. nodes: node, id, _first (smallest doc id), class_id, class_size, _stays.
 
     class_id: the smallest doc id in the class. A text without a word (null, blank) is near to such texts only.
 
     A few functions come first and join most copies, to the most central text of their bucket; then, of all
-    buckets, only one or two nodes a component are looked at, so a large group of near copies is small by then.
+    buckets, one or two nodes a component are looked at, so a large group of near copies is small by then;
+    what is then still apart in a bucket is compared with every node of the other components there.
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
     rows = written(sketched(plain, F.col("_text"), ("_id",)), "sketches")
-    nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("keys").alias("keys"))
+    nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     known = words = roots = None
     scores = centrality(nodes)
@@ -305,6 +333,25 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
             members = held_against(cut(apart), leaders)
             if members.isEmpty():
                 break
+    most, entries = FIRST, cut(crossing(nodes, roots))
+    while True:
+        ranked = cut(ranked_across(entries, roots))
+        largest = ranked.agg(F.max("size")).first()[0]
+        if largest is None:
+            break
+        done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = cut(pairs_across(ranked, most).join(done, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            new_ends = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(words, "id", "left_anti").join(nodes.select("id", "node"), "id"))
+            if not new_ends.isEmpty():
+                words = words.union(sequences(plain, new_ends))
+            new = cut(verified(pairs, words))
+            known = known.union(new)
+            if not new.where("similar").isEmpty():
+                roots = components(known.where("similar"))
+        if largest <= most:
+            break
+        most *= GROWTH
     all_ = nodes.select("node", "id", "_first", "_copies").join(roots.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("node", "id", "_first", "_copies", F.coalesce("root", "id").alias("root"))
     each = all_.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("class_id"), F.sum("_copies").alias("class_size"), F.min(F.struct(F.col("_first").isNull().alias("x"), F.col("_first").alias("y"), F.col("id").alias("z"))).alias("_best"))
     each = each.withColumn("_s", F.col("_best.z"))

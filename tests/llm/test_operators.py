@@ -256,6 +256,44 @@ def test_near_dedup(spark, odd, none):
     assert near_dedup.grouped(none).count() == 0 and near_dedup.deduplicated(none).count() == 0
 
 
+def components_by_hand(texts, near):
+    """Smallest index of the component of each text; ``near``: which pairs to align."""
+    hashed = [near_dedup.word_hashes(t) for t in texts]
+    parent = list(range(len(texts)))
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for i in range(len(texts)):
+        for j in range(i):
+            if near(i, j) and near_dedup.similarity(hashed[i], hashed[j]) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def test_near_dedup_links_to_any_copy(spark):
+    """Copies of copies: near to one text of a large group, not to its base."""
+    r = random.Random(12)
+    rows = []
+    for g in range(3):
+        base = words(r, 120, 3000)
+        copies = []
+        for k in range(150):
+            w = list(base)
+            for i in r.sample(range(120), 2):
+                w[i] = f"c{g}_{k}_{i}"
+            copies.append(w)
+        rows += [base, *copies]
+        for k in range(60):
+            w = list(copies[r.randrange(150)])
+            for i in (10, 60, 100)[: 2 + k % 2]:
+                w[i + r.randrange(5)] = f"y{g}_{k}_{i}"
+            rows.append(w)
+    texts = [" ".join(w) for w in rows]
+    keys = [set(near_dedup.sketch(near_dedup.word_hashes(t)).tolist()) for t in texts]
+    want = components_by_hand(texts, lambda i, j: not keys[i].isdisjoint(keys[j]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {x.doc_id: x.class_id for x in near_dedup.grouped(docs).collect()} == dict(enumerate(want))
+
+
 def test_lm_scoring(spark, odd, none):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
