@@ -7,6 +7,10 @@ documents share a key only if they share the shingles and their order, which fol
 similarity. Documents with a key in common are candidates; a banded alignment of their
 shingles decides: common shingles in order over all shingles, ``SIMILARITY`` or more.
 
+Few shingles make the sketch miss pairs, so texts up to ``SHORT`` shingles have exact keys beside
+it: of their labelled shingles, ordered from rare to frequent, so many of the first that two
+similar texts must share one (prefix filtering).
+
 Equal texts (by words, lower-cased) are one node before any key is compared. In a bucket every
 node is held against the bucket's most central node, not against each other, so a group of copies
 costs as many comparisons as it has members. Members that this node rejects, and that no
@@ -32,6 +36,8 @@ from .common import cut, mix64, small, uniform, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
+#: Shingles of a text that also has exact keys: the longest that is similar to a text of 60.
+SHORT = 75
 #: Functions that are looked at first.
 EARLY = 4
 #: Nodes of a component and bucket that are held against other components at first; the number grows by GROWTH until it is all.
@@ -88,6 +94,12 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return key
 
 
+def short_marks(words: np.ndarray) -> np.ndarray:
+    """The labelled shingles (uint64) of a short text; none for a longer one."""
+    runs = shingles(words) if len(words) < SHORT + WORDS else np.empty(0, np.uint64)
+    return labelled(runs) if len(runs) else runs
+
+
 def digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b"\0".join(words), digest_size=16).digest()
 
@@ -144,7 +156,7 @@ def banded_lcs(x: list[int], y: list[int], d: int) -> int:
 
 
 def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool = True) -> DataFrame:
-    """``keep`` and node (digest of the words), and with ``keys`` n (words) and keys (array)."""
+    """``keep`` and node (digest of the words), and with ``keys`` n (words), keys and marks (arrays)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     plain = rows.select(*keep, text.alias("_text"))
@@ -153,22 +165,23 @@ def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool =
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            nodes, n, found = [], [], []
+            nodes, n, found, marks = [], [], [], []
             for x in b.column("_text").to_pylist():
                 words = (x or "").lower().encode("utf-8", "replace").split()
                 nodes.append(digest(words))
                 if keys:
                     n.append(len(words))
-                    found.append(sketch(np.fromiter(map(zlib.crc32, words), np.uint32)).view(np.int64))
+                    hashed = np.fromiter(map(zlib.crc32, words), np.uint32)
+                    found.append(sketch(hashed).view(np.int64))
+                    marks.append(short_marks(hashed).view(np.int64))
             cols, names = [*[b.column(c) for c in kept.names], pa.array(nodes, pa.binary())], [*kept.names, "node"]
             if keys:
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
-                cols, names = [*cols, pa.array(n, pa.int64()), lists], [*names, "n", "keys"]
+                lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)), pa.array(np.concatenate(x) if x else np.empty(0, np.int64))) for x in (found, marks)]
+                cols, names = [*cols, pa.array(n, pa.int64()), *lists], [*names, "n", "keys", "marks"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     out = schema.add("node", "binary")
-    return plain.mapInArrow(make, out.add("n", "long").add("keys", ArrayType(LongType())) if keys else out)
+    return plain.mapInArrow(make, out.add("n", "long").add("keys", ArrayType(LongType())).add("marks", ArrayType(LongType())) if keys else out)
 
 
 def marked(nodes: DataFrame) -> np.ndarray:
@@ -250,6 +263,19 @@ def early_entries(nodes: DataFrame, scores: DataFrame) -> DataFrame:
     return shared.select("key", "id", "score")
 
 
+def rare_keys(nodes: DataFrame) -> DataFrame:
+    """id, more (array) of short texts: exact keys, of which similar texts have one in common.
+
+    The longer of two similar texts shares at least ``SIMILARITY`` of its shingles, so one of the first few in any one
+    order. Shingles of a single text are the rarest and come first; they are no keys, as nothing shares them.
+    """
+    each = nodes.select("id", F.size("marks").alias("size"), F.explode("marks").alias("mark"))
+    often = each.groupBy("mark").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    found = each.join(often, "mark").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("often", "mark"))).alias("_m"))
+    first = (F.size("_m") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1).cast("int").alias("first")
+    return found.select("id", "_m", first).where("first > 0").select("id", F.expr("transform(slice(_m, 1, first), x -> x.mark)").alias("more"))
+
+
 def all_entries(nodes: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
     """key, id, score: of each bucket the most central and the first node of every component there, if there are two components or more."""
     known = nodes.select("id", "keys").join(scores, "id", "left").join(roots, "id", "left")
@@ -306,13 +332,15 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
     rows = written(sketched(plain, F.col("_text"), ("_id",)), "sketches")
-    nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     known = words = roots = None
     scores = centrality(nodes)
+    more = cut(rare_keys(nodes))
+    keyed = nodes.select("id", "n", "keys").join(more, "id", "left").withColumn("keys", F.concat("keys", F.coalesce("more", F.array().cast("array<long>"))))
     for early in (True, False):
         leaders = 1
-        members = held_against(cut(early_entries(nodes, scores) if early else all_entries(nodes, scores, roots)), leaders)
+        members = held_against(cut(early_entries(nodes, scores) if early else all_entries(keyed, scores, roots)), leaders)
         ends = members.select(F.col("a").alias("id")).union(members.select("b")).distinct()
         new_ends = ends if words is None else ends.join(words, "id", "left_anti")
         new_words = sequences(plain, cut(new_ends.join(nodes.select("id", "node"), "id")))
@@ -333,7 +361,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
             members = held_against(cut(apart), leaders)
             if members.isEmpty():
                 break
-    most, entries = FIRST, cut(crossing(nodes, roots))
+    most, entries = FIRST, cut(crossing(keyed, roots))
     while True:
         ranked = cut(ranked_across(entries, roots))
         largest = ranked.agg(F.max("size")).first()[0]

@@ -294,6 +294,30 @@ def test_near_dedup_links_to_any_copy(spark):
     assert {x.doc_id: x.class_id for x in near_dedup.grouped(docs).collect()} == dict(enumerate(want))
 
 
+def test_near_dedup_of_short_texts(spark):
+    r = random.Random(13)
+    line = words(r, 12, 3000)
+    rows = []
+    for k in range(250):
+        w = words(r, r.randint(8, 40), 3000)
+        if k % 5 == 0:
+            w += line  # a line that many texts have
+        other = list(w)
+        if k % 3 == 0:
+            other.append(f"new{k}")
+        elif k % 3 == 1:
+            other = other[1:]
+        else:
+            other[-1 - r.randrange(2)] = f"new{k}"
+        rows += [w, other]
+    texts = [" ".join(w) for w in rows]
+    runs = [set(near_dedup.shingles(near_dedup.word_hashes(t)).tolist()) for t in texts]
+    want = components_by_hand(texts, lambda i, j: not runs[i].isdisjoint(runs[j]))
+    assert len(set(want)) < 450
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {x.doc_id: x.class_id for x in near_dedup.grouped(docs).collect()} == dict(enumerate(want))
+
+
 def test_lm_scoring(spark, odd, none):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
