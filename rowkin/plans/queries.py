@@ -404,6 +404,6 @@ def cascade_predict(spark: SparkSession, d: str) -> DataFrame:
     raw = tables.parties(spark, d)
     prepared, who = linkage.prepare(raw, tables.party_truth(spark, d))
     prepared = prepared.persist()
-    bundle, _ = cascade.train(prepared, who, cascade.Settings(rounds=5, screen_rounds=3, depth=4, least_rows=5))
+    bundle, _ = cascade.train(prepared, who)
     prepared.unpersist()
     return rounded(linkage.link(raw, bundle), 4)

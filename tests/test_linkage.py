@@ -170,3 +170,19 @@ def test_bundle_round_trip(spark, tmp_path):
     matches, candidates = linkage.assemble(rows.where("source = 1"), linked)
     assert linkage.verify(matches, candidates, sinks.numbered(rows.where("source = 1")), rows.where("source != 1")).isEmpty()
     assert 0 <= report["retention"]["kept"] <= 1
+
+
+def test_cascade_query_trains_the_default_models(spark, monkeypatch):
+    from rowkin.plans import cascade, queries
+
+    class Seen(Exception):
+        pass
+
+    def train(pairs, who, settings=None):
+        raise Seen(settings or cascade.Settings())
+
+    monkeypatch.setattr(cascade, "train", train)
+    with pytest.raises(Seen) as seen:
+        queries.cascade_predict(spark, "/root/testdata/sf0.001")
+    assert seen.value.args[0] == cascade.Settings()
+    assert [cascade.production_rounds(n) for n in (3, 50, 60)] == [50, 50, 60]
