@@ -12,10 +12,10 @@ it: of their labelled shingles, ordered from rare to frequent, so many of the fi
 similar texts must share one (prefix filtering).
 
 Equal texts (by words, lower-cased) are one node before any key is compared. In a bucket every
-node is held against the bucket's most central node, not against each other, so a group of copies
-costs as many comparisons as it has members. Members that this node rejects, and that no
-other bucket has joined to it, form the bucket anew with its next 4, 16, 64 ... nodes to be held
-against, until every bucket is used up.
+node is held against the bucket's most central node, its pivot, not against each other, so a
+group of copies costs as many comparisons as it has members. Of nodes that are then still of
+different components only those are compared whose differences from the pivot allow it
+(``against_base`` says why no similar pair is lost); neither buckets nor partners have a cap.
 Classes are the components of the links. Texts never move: nodes travel as digests, and only
 nodes with a candidate send their words (4 bytes each) to be aligned.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import cut, mix64, small, uniform, word_hashes, written
+from .common import cut, mix64, small, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
@@ -40,8 +40,6 @@ SKETCHES, PICKED = 32, 8
 SHORT = 75
 #: Functions that are looked at first.
 EARLY = 4
-#: Nodes of a component and bucket that are held against other components at first; the number grows by GROWTH until it is all.
-FIRST, GROWTH = 64, 16
 #: Shingles that a sketch is made of at a time; longer texts are read block by block.
 BLOCK = 1 << 12
 ODD = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -172,12 +170,11 @@ def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool =
                 if keys:
                     n.append(len(words))
                     hashed = np.fromiter(map(zlib.crc32, words), np.uint32)
-                    found.append(sketch(hashed).view(np.int64))
-                    marks.append(short_marks(hashed).view(np.int64))
+                    found.append(sketch(hashed))
+                    marks.append(short_marks(hashed))
             cols, names = [*[b.column(c) for c in kept.names], pa.array(nodes, pa.binary())], [*kept.names, "node"]
             if keys:
-                lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)), pa.array(np.concatenate(x) if x else np.empty(0, np.int64))) for x in (found, marks)]
-                cols, names = [*cols, pa.array(n, pa.int64()), *lists], [*names, "n", "keys", "marks"]
+                cols, names = [*cols, pa.array(n, pa.int64()), long_lists(found), long_lists(marks)], [*names, "n", "keys", "marks"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     out = schema.add("node", "binary")
@@ -216,18 +213,148 @@ def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(made.join(wanted, "node").groupBy("id").agg(F.first("words").alias("words")), "sequences")
 
 
+#: Labelled shingles that a worker remembers at most, 8 bytes each.
+REMEMBERED = 1 << 21
+
+
+class Marks(dict):
+    """The labelled shingles of texts met lately, sorted, by node id."""
+
+    held = 0
+
+    def of(self, node: int, words: bytes) -> np.ndarray:
+        found = self.get(node)
+        if found is None:
+            found = np.sort(labelled(shingles(np.frombuffer(words, np.uint32))))
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = 0
+            self[node] = found
+            self.held += len(found)
+        return found
+
+
+def lacking(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The values of the sorted array ``a`` that the sorted array ``b`` lacks, sorted."""
+    return a if not len(b) else a[b[np.minimum(np.searchsorted(b, a), len(b) - 1)] != a]
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The values that only one of two sorted arrays has, sorted."""
+    return np.sort(np.concatenate([lacking(a, b), lacking(b, a)]))
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether texts with these labelled shingles can be similar, whatever their order."""
+    n, m = len(a), len(b)
+    common = n - len(lacking(a, b)) if min(n, m) >= least * max(n, m) else 0
+    return common >= least * (n + m - common) - 1e-9
+
+
+def similar(x: bytes, y: bytes) -> bool:
+    return similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= SIMILARITY
+
+
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """a, b, similar of each row (a, b) of ``pairs``."""
     left, right = words.select(F.col("id").alias("a"), F.col("words").alias("_x")), words.select(F.col("id").alias("b"), F.col("words").alias("_y"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = Marks()
         for b in small(batches):
-            made = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= SIMILARITY for x, y in zip(b.column("_x").to_pylist(), b.column("_y").to_pylist())]
+            rows = zip(b.column("a").to_pylist(), b.column("b").to_pylist(), b.column("_x").to_pylist(), b.column("_y").to_pylist())
+            made = [alike(marks.of(i, x), marks.of(j, y)) and similar(x, y) for i, j, x, y in rows]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(made, pa.bool_())], ["a", "b", "similar"])
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(compare, "a long, b long, similar boolean")
 
 
+def against_base(own: np.ndarray, center: np.ndarray, fix: np.ndarray, least: float = SIMILARITY) -> tuple[bool, int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """near, n, apart, extra, gone, gone_near: what the labelled shingles (sorted) of a text say beside those of its bucket's base.
+
+    The base is the center, a text of the bucket, but for the shingles ``fix``; it may be any set, only the cost depends on it.
+    Let E be the number of shingles of a text that the base lacks, M those of the base that the text lacks, m the size of the base,
+    d that of ``fix``, f = (1 - s) / (1 + s) for the least similarity s. Texts x and y are similar only if their shingles
+    differ in at most f (n_x + n_y), and then each lacks at most (1 - s) n of the other's. They differ in those by which only
+    one of them differs from the base. A text is near if it differs from the center in at most f (n + n_c); if it isn't,
+    E + M > f (n + m) - (1 + f) d. So if x isn't near, similar x and y
+
+    - have an item of E_x in common, which then is among the first (1 - s) n + 1 of both in any one order (extra); or
+    - more than v = ((1 - f) E_y + (1 + f) (M_y - d)) / 2 items of M_y, which bounds how many of its first to look at (gone_near;
+      none if M_y is no more than v), and at least E_x + M_x - (1 - s) n_x / s of M_x, which bounds those (gone); or
+    - nothing, and then E + M of y is at most (1 + f) d / (1 - f), and E + M of both at most f (n_x + n_y) (apart).
+    """
+    base = differing(center, fix)
+    extra, gone = lacking(own, base), lacking(base, own)
+    n, apart, f = len(own), len(extra) + len(gone), (1 - least) / (1 + least)
+    near = alike(own, center, least)
+    v = max(0.0, ((1 - f) * len(extra) + (1 + f) * (len(gone) - len(fix))) / 2 - 1e-9)
+    few = len(gone) - int(v) if len(gone) > v else 0
+    many = 0 if near else len(gone) - max(1, int(np.ceil(apart - (1 - least) / least * n - 1e-9))) + 1
+    return near, n, apart, extra[: int((1 - least) * n + 1e-9) + 1], gone[: max(many, 0)], gone[:few]
+
+
+def beside_pivot(arena: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows (p, id, ...) of ``arena`` with the words of both, _x and _y."""
+    left, right = words.select(F.col("id").alias("p"), F.col("words").alias("_x")), words.select("id", F.col("words").alias("_y"))
+    return arena.join(left, "p").join(right, "id")
+
+
+def pivot_links(arena: DataFrame, words: DataFrame) -> DataFrame:
+    """p, id, linked, differ of each row (p, id) of ``arena``."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = Marks()
+        for b in small(batches):
+            linked, differ = [], []
+            for i, j, x, y in zip(b.column("p").to_pylist(), b.column("id").to_pylist(), b.column("_x").to_pylist(), b.column("_y").to_pylist()):
+                u, v = marks.of(i, x), marks.of(j, y)
+                linked.append(alike(u, v) and similar(x, y))
+                differ.append(differing(u, v) if linked[-1] else u[:0])
+            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("id"), pa.array(linked, pa.bool_()), long_lists(differ)], ["p", "id", "linked", "differ"])
+
+    return beside_pivot(arena, words).select("p", "id", "_x", "_y").mapInArrow(compare, "p long, id long, linked boolean, differ array<long>")
+
+
+def centers(links: DataFrame) -> DataFrame:
+    """p, center, fix: for each pivot the text nearest to what most texts similar to it have, and the shingles that the two lack of each other.
+
+    A pivot is a copy with edits of its own, by which all others would differ from it alike.
+    """
+    near = links.where("linked").select("p", "id", "differ")
+    near = near.unionByName(near.select("p").distinct().select("p", F.col("p").alias("id"), F.array().cast("array<long>").alias("differ")))
+    n = near.groupBy("p").agg(F.count(F.lit(1)).alias("_n"))
+    items = near.select("p", F.explode("differ").alias("item")).groupBy("p", "item").agg(F.count(F.lit(1)).alias("_c"))
+    common = items.join(n, "p").where("2 * _c > _n").groupBy("p").agg(F.collect_list("item").alias("_f"))
+    rest = near.join(common, "p", "left").withColumn("_f", F.coalesce("_f", F.array().cast("array<long>"))).select("p", "id", F.concat(F.array_except("differ", "_f"), F.array_except("_f", "differ")).alias("fix"))
+    best = rest.groupBy("p").agg(F.min(F.struct(F.size("fix").alias("d"), "id", "fix")).alias("_b"))
+    return best.select("p", F.col("_b.id").alias("center"), F.col("_b.fix").alias("fix"))
+
+
+def differences(arena: DataFrame, words: DataFrame) -> DataFrame:
+    """p, id, linked (to p), d and what ``against_base`` says, of each row (p, id, fix) of ``arena``; the center is p."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = Marks()
+        for b in small(batches):
+            made = []
+            for i, j, x, y, fix in zip(b.column("p").to_pylist(), b.column("id").to_pylist(), b.column("_x").to_pylist(), b.column("_y").to_pylist(), b.column("fix")):
+                fixed = np.sort(fix.values.to_numpy().view(np.uint64)) if fix.is_valid else np.empty(0, np.uint64)
+                said = against_base(marks.of(j, y), marks.of(i, x), fixed)
+                made.append((said[0] and similar(x, y), len(fixed), *said))
+            plain = [pa.array([x[i] for x in made], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("id"), *plain, *[long_lists([x[i] for x in made]) for i in (5, 6, 7)]], ["p", "id", "linked", "d", "near", "n", "apart", "extra", "gone", "gone_near"])
+
+    both = beside_pivot(arena, words).select("p", "id", "_x", "_y", "fix")
+    return both.mapInArrow(compare, "p long, id long, linked boolean, d long, near boolean, n long, apart long, extra array<long>, gone array<long>, gone_near array<long>")
+
+
+def long_lists(found: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of 64-bit values as one Arrow column of lists."""
+    flat = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32)), pa.array(flat))
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, root (the smallest id of its component) of every node in ``links`` (a, b).
 
@@ -276,110 +403,145 @@ def rare_keys(nodes: DataFrame) -> DataFrame:
     return found.select("id", "_m", first).where("first > 0").select("id", F.expr("transform(slice(_m, 1, first), x -> x.mark)").alias("more"))
 
 
-def all_entries(nodes: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, id, score: of each bucket the most central and the first node of every component there, if there are two components or more."""
-    known = nodes.select("id", "keys").join(scores, "id", "left").join(roots, "id", "left")
-    each = known.select("id", F.coalesce("score", F.lit(0)).alias("score"), F.coalesce("root", "id").alias("root"), F.explode("keys").alias("key"))
-    spans = each.groupBy("key", "root").agg(F.max(F.struct("score", "id")).alias("top"), F.min(F.struct("id", "score")).alias("low"))
-    shared = spans.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
-    both = F.array_distinct(F.array(F.struct("top.id", "top.score"), F.struct("low.id", "low.score")))
-    return spans.join(shared, "key", "left_semi").select("key", F.explode(both).alias("_n")).select("key", "_n.id", "_n.score")
-
-
-def held_against(pool: DataFrame, leaders: int) -> DataFrame:
-    """key, a, b, score, first: every node of a bucket with each of the bucket's ``leaders`` most central nodes before it."""
-    if leaders == 1:
-        ahead = pool.groupBy("key").agg(F.max(F.struct("score", "id")).alias("_a")).select("key", F.col("_a.id").alias("a"))
-        return cut(pool.join(ahead, "key").where("id != a").select("key", "a", F.col("id").alias("b"), "score", F.lit(False).alias("first")))
-    ranked = pool.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), F.desc("id"))))
-    ahead = ranked.where(F.col("n") <= leaders).select("key", F.col("id").alias("a"), F.col("n").alias("_m"))
-    return cut(ranked.join(ahead, "key").where("_m < n").select("key", "a", F.col("id").alias("b"), "score", (F.col("n") <= leaders).alias("first")))
-
-
-def crossing(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, id, n (shingles): all nodes of the buckets that hold two components or more."""
-    shingled = F.greatest(F.col("n") - (WORDS - 1), F.lit(1)).alias("n")
-    each = nodes.select("id", shingled, "keys").join(roots, "id", "left").select("id", "n", F.coalesce("root", "id").alias("root"), F.explode("keys").alias("key"))
-    shared = each.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y").select("key")
-    return each.join(shared, "key", "left_semi").select("key", "id", "n")
-
-
-def ranked_across(entries: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, id, n, root, size (nodes of the component in the bucket), rank (spread evenly over the size), aside (not of the bucket's largest component)."""
-    each = entries.join(roots, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-    spans = each.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    tops = spans.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("size", "root")).alias("_t")).where("_m > 1").select("key", F.col("_t.root").alias("_top"))
-    sized = spans.join(tops, "key").select("key", "root", "size", (F.col("root") != F.col("_top")).alias("aside"))
-    return each.join(sized, ["key", "root"]).withColumn("rank", uniform("id", seed=8) * F.col("size"))
-
-
-def pairs_across(ranked: DataFrame, most: int) -> DataFrame:
-    """a < b, once each: nodes of different components in a bucket, ranks below ``most``, whose lengths allow a link."""
-    pool = ranked.where(F.col("rank") < most)
-    one = pool.where("aside").select("key", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
-    met = one.join(pool, "key").where((F.col("root") != F.col("_r")) & (F.least("n", "_n") >= SIMILARITY * F.greatest("n", "_n")))
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``roots`` (id, root of every node with a link) after further ``links`` (a, b): only roots that the links join are looked at again."""
+    if roots is None:
+        return components(links)
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    all_ = cut(roots.unionByName(ends.join(roots, "id", "left_anti").select("id", F.col("id").alias("root"))))
+    ra, rb = all_.select(F.col("id").alias("a"), F.col("root").alias("_ra")), all_.select(F.col("id").alias("b"), F.col("root").alias("_rb"))
+    joined = links.join(ra, "a").join(rb, "b").where("_ra != _rb").select(F.col("_ra").alias("a"), F.col("_rb").alias("b")).distinct()
+    moved = components(joined).select(F.col("id").alias("root"), F.col("root").alias("_to"))
+    return cut(all_.join(moved, "root", "left").select("id", F.coalesce("_to", "root").alias("root")))
+
+
+def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` (id, ...) with root; a node without a link is its own."""
+    return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def early_pairs(nodes: DataFrame, scores: DataFrame) -> DataFrame:
+    """a, b: every node with the most central node of each of its buckets of the early functions."""
+    entries = early_entries(nodes, scores)
+    ahead = entries.groupBy("key").agg(F.max(F.struct("score", "id")).alias("_a")).select("key", F.col("_a.id").alias("a"))
+    return entries.join(ahead, "key").where("id != a").select("a", F.col("id").alias("b")).distinct()
+
+
+def arenas(nodes: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
+    """p, id: every node of a bucket that holds two components or more, with the bucket's most central node."""
+    known = with_roots(nodes.select("id", "keys").join(scores, "id", "left"), roots)
+    each = cut(known.select("id", "root", F.coalesce("score", F.lit(0)).alias("score"), F.explode("keys").alias("key")))
+    mixed = each.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y"), F.max(F.struct("score", "id")).alias("_p")).where("_x < _y").select("key", F.col("_p.id").alias("p"))
+    return each.join(mixed, "key").where("id != p").select("p", "id").distinct()
+
+
+#: Lengths that allow a link, of rows joined to others whose length is _n.
+FITS = f"least(n, _n) >= {SIMILARITY} * greatest(n, _n)"
+
+
+def items_of(found: DataFrame, roots: DataFrame, column: str) -> DataFrame:
+    """p, item, id, n, root, one row an item of ``column``."""
+    return with_roots(found.select("p", "id", "n", F.explode(column).alias("item")), roots)
+
+
+def mixed_only(items: DataFrame) -> DataFrame:
+    """The rows whose (p, item) two components or more have, with the most frequent component (_top) and the greatest node (_lead) of it."""
+    spans = items.groupBy("p", "item", "root").agg(F.count(F.lit(1)).alias("_c"), F.max("id").alias("_l"))
+    tops = spans.groupBy("p", "item").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("_c", "root", "_l")).alias("_t")).where("_m > 1")
+    return items.join(tops.select("p", "item", F.col("_t.root").alias("_top"), F.col("_t._l").alias("_lead")), ["p", "item"])
+
+
+def ordered_pairs(met: DataFrame) -> DataFrame:
+    """a < b, once each, from rows _a, id."""
     return met.select(F.least("_a", "id").alias("a"), F.greatest("_a", "id").alias("b")).distinct()
 
 
+def sharing_an_extra(items: DataFrame) -> DataFrame:
+    """a, b of different components with an extra item in common, one of them not of the item's most frequent component."""
+    pool = mixed_only(items)
+    one = pool.where("root != _top").select("p", "item", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
+    return ordered_pairs(one.join(pool, ["p", "item"]).where("root != _r").where(FITS))
+
+
+def sharing_a_gap(far: DataFrame, near: DataFrame) -> DataFrame:
+    """a, b of different components of which the first (not near to the base) and the other lack the same item of it."""
+    one = far.select("p", "item", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
+    return ordered_pairs(one.join(near, ["p", "item"]).where("root != _r").where(FITS))
+
+
+def near_pairs(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """a, b of different components, both near to a center: what is outside of the most frequent component, such as texts in another order."""
+    all_ = with_roots(found.where("near").select("p", "id", "n"), roots)
+    tops = all_.groupBy("p", "root").agg(F.count(F.lit(1)).alias("_c")).groupBy("p").agg(F.max(F.struct("_c", "root")).alias("_t"), F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    pool = all_.join(tops.select("p", F.col("_t.root").alias("_top")), "p")
+    one = pool.where("root != _top").select("p", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
+    return ordered_pairs(one.join(pool, "p").where("root != _r").where(FITS))
+
+
+def central_pairs(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """a, b of different components, the first not near to a center, that may be similar without a difference in common."""
+    f = (1 - SIMILARITY) / (1 + SIMILARITY)
+    all_ = with_roots(found.where("d > 0").select("p", "id", "n", "near", "apart", "d"), roots)
+    one = all_.where("NOT near").select("p", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"), F.col("apart").alias("_d"))
+    pool = all_.where(F.col("apart") <= (1 + f) / (1 - f) * F.col("d") + 1e-6)
+    return ordered_pairs(one.join(pool, "p").where("root != _r").where(F.col("apart") + F.col("_d") <= f * (F.col("n") + F.col("_n")) + 1e-6).where(FITS))
+
+
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(rows, nodes). rows: _id, node of each row of ``docs``. nodes: node, id, _first (smallest doc id), class_id, class_size, _stays.
 
     class_id: the smallest doc id in the class. A text without a word (null, blank) is near to such texts only.
 
-    A few functions come first and join most copies, to the most central text of their bucket; then, of all
-    buckets, one or two nodes a component are looked at, so a large group of near copies is small by then;
-    what is then still apart in a bucket is compared with every node of the other components there.
+    Few functions come first and join most copies to the most central text of their bucket. Then each node of a bucket
+    that still holds two components is held against the bucket's pivot, and what it differs in becomes its keys
+    there: nodes of different components are compared only where these say they can be similar (``against_base``).
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
     rows = written(sketched(plain, F.col("_text"), ("_id",)), "sketches")
-    nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
+    nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    known = words = roots = None
     scores = centrality(nodes)
-    more = cut(rare_keys(nodes))
-    keyed = nodes.select("id", "n", "keys").join(more, "id", "left").withColumn("keys", F.concat("keys", F.coalesce("more", F.array().cast("array<long>"))))
-    for early in (True, False):
-        leaders = 1
-        members = held_against(cut(early_entries(nodes, scores) if early else all_entries(keyed, scores, roots)), leaders)
-        ends = members.select(F.col("a").alias("id")).union(members.select("b")).distinct()
-        new_ends = ends if words is None else ends.join(words, "id", "left_anti")
-        new_words = sequences(plain, cut(new_ends.join(nodes.select("id", "node"), "id")))
-        words = new_words if words is None else words.union(new_words)
-        while True:
-            pairs = members.select("a", "b").distinct()
-            new = cut(verified(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), words))
-            known = new if known is None else known.union(new)
-            if roots is None or not new.where("similar").isEmpty():
-                roots = components(known.where("similar"))
-            if early:
-                break
-            ra, rb = roots.select(F.col("id").alias("_na"), F.col("root").alias("_ra")), roots.select(F.col("id").alias("_nb"), F.col("root").alias("_rb"))
-            met = members.where("NOT first").join(ra, F.col("a") == F.col("_na"), "left").join(rb, F.col("b") == F.col("_nb"), "left")
-            apart = met.groupBy("key", F.col("b").alias("id"), "score").agg(F.max(F.coalesce(F.col("_ra") == F.col("_rb"), F.lit(False))).alias("_met")).where("NOT _met").select("key", "id", "score")
-            # All of a bucket's leaders have been held against all its members; what is apart from them goes on, with more leaders.
-            leaders *= 4
-            members = held_against(cut(apart), leaders)
-            if members.isEmpty():
-                break
-    most, entries = FIRST, cut(crossing(keyed, roots))
-    while True:
-        ranked = cut(ranked_across(entries, roots))
-        largest = ranked.agg(F.max("size")).first()[0]
-        if largest is None:
-            break
-        done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = cut(pairs_across(ranked, most).join(done, ["a", "b"], "left_anti"))
-        if not pairs.isEmpty():
-            new_ends = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(words, "id", "left_anti").join(nodes.select("id", "node"), "id"))
-            if not new_ends.isEmpty():
-                words = words.union(sequences(plain, new_ends))
-            new = cut(verified(pairs, words))
-            known = known.union(new)
-            if not new.where("similar").isEmpty():
-                roots = components(known.where("similar"))
-        if largest <= most:
-            break
-        most *= GROWTH
+
+    def words_of_ends(ends: DataFrame, older: DataFrame | None = None) -> DataFrame:
+        new = ends.distinct() if older is None else ends.distinct().join(older, "id", "left_anti")
+        made = sequences(plain, cut(new.join(nodes.select("id", "node"), "id")))
+        return made if older is None else older.unionByName(made)
+
+    pairs = cut(early_pairs(nodes, scores))
+    words = words_of_ends(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    early = cut(verified(pairs, words))
+    roots = components(early.where("similar").select("a", "b"))
+
+    more = rare_keys(nodes)
+    keyed = nodes.select("id", "keys").join(more, "id", "left").withColumn("keys", F.concat("keys", F.coalesce("more", F.array().cast("array<long>"))))
+    arena = cut(arenas(keyed, scores, roots))
+    words = words_of_ends(arena.select("id").union(arena.select("p")), words)
+    links = cut(pivot_links(arena, words))
+    roots = merged(roots, links.where("linked").select(F.col("p").alias("a"), F.col("id").alias("b")))
+    moved = cut(centers(links))
+    fixes = moved.groupBy(F.col("center").alias("p")).agg(F.min(F.struct(F.size("fix").alias("d"), "fix")).alias("_f")).select("p", F.col("_f.fix").alias("fix"))
+    members = arena.unionByName(arena.select("p", F.col("p").alias("id")).distinct()).join(moved.select("p", "center"), "p", "left")
+    members = members.select(F.coalesce("center", "p").alias("p"), "id").distinct().where("id != p")
+    found = cut(differences(members.join(fixes, "p", "left"), words))
+    roots = merged(roots, found.where("linked").select(F.col("p").alias("a"), F.col("id").alias("b")))
+    known = early.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for each in (links, found):
+        known = known.union(each.select(F.least("p", "id"), F.greatest("p", "id")))
+
+    # A second family in a bucket is joined to its own first text before any two of its texts are compared.
+    extra = mixed_only(items_of(found, roots, "extra"))
+    lead = extra.where("root != _top OR id != _lead").withColumnRenamed("_lead", "_a").where("_a != id").join(found.select(F.col("id").alias("_a"), F.col("n").alias("_n")).distinct(), "_a").where(FITS)
+    pairs = cut(ordered_pairs(lead).join(known, ["a", "b"], "left_anti"))
+    new = cut(verified(pairs, words))
+    roots = merged(roots, new.where("similar").select("a", "b"))
+    known = known.union(new.select("a", "b"))
+
+    # What is still apart, whatever the other text's place in its component.
+    pairs = sharing_an_extra(items_of(found, roots, "extra"))
+    pairs = pairs.union(sharing_a_gap(items_of(found, roots, "gone"), items_of(found, roots, "gone_near"))).union(near_pairs(found, roots)).union(central_pairs(found, roots))
+    new = cut(verified(cut(pairs.distinct().join(known, ["a", "b"], "left_anti")), words))
+    roots = merged(roots, new.where("similar").select("a", "b"))
+
     all_ = nodes.select("node", "id", "_first", "_copies").join(roots.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("node", "id", "_first", "_copies", F.coalesce("root", "id").alias("root"))
     each = all_.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("class_id"), F.sum("_copies").alias("class_size"), F.min(F.struct(F.col("_first").isNull().alias("x"), F.col("_first").alias("y"), F.col("id").alias("z"))).alias("_best"))
     each = each.withColumn("_s", F.col("_best.z"))

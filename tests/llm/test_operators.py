@@ -294,6 +294,67 @@ def test_near_dedup_links_to_any_copy(spark):
     assert {x.doc_id: x.class_id for x in near_dedup.grouped(docs).collect()} == dict(enumerate(want))
 
 
+def test_near_dedup_of_chains_and_trees(spark):
+    """Families in which a text is near to its parent only; some swap halves, some share a long passage, one has no text near to all."""
+    r = random.Random(21)
+    rows = []
+    for g in range(12):
+        base = words(r, 100 + 10 * g, 3000)
+        members = [base]
+        for k in range(79):
+            parent = members[-1] if g % 3 == 0 else r.choice(members) if g % 3 == 1 else base
+            w = list(parent)
+            for i in r.sample(range(len(w)), 1 + k % 4):
+                kind = r.randrange(3)
+                w[i] = f"n{g}_{k}_{i}" if kind == 0 else w[i] + " " + f"i{g}_{k}" if kind == 1 else ""
+            w = " ".join(w).split()
+            if k % 13 == 5:
+                w = w[len(w) // 2 :] + w[: len(w) // 2]
+            members.append(w)
+        rows += members[g % 2 * 1 :]  # of half of the families the first text is missing
+    passage = words(r, 80, 3000)
+    rows += [passage + words(r, 30 + k % 9, 3000) for k in range(60)]
+    texts = [" ".join(w) for w in rows]
+    assert len(texts) >= 900
+    keys = [set(near_dedup.sketch(near_dedup.word_hashes(t)).tolist()) for t in texts]
+    want = components_by_hand(texts, lambda i, j: not keys[i].isdisjoint(keys[j]))
+    assert 70 < len(set(want)) < 600
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {x.doc_id: x.class_id for x in near_dedup.grouped(docs).collect()} == dict(enumerate(want))
+
+
+def test_differences_from_a_base_lose_no_similar_pair():
+    """Whatever the base: similar texts, one of them not near to the center, meet by one of the three ways."""
+    r = random.Random(22)
+    met = Counter()
+    for _ in range(300):
+        center = words(r, 60, 500)
+
+        def copy(w, least, most):
+            w = list(w)
+            for i in sorted(r.sample(range(len(w)), r.randint(least, most)), reverse=True):
+                w[i : i + 1] = [[], [f"a{r.randrange(10**6)}"], [w[i], f"b{r.randrange(10**6)}"]][r.choice([0, 0, 1, 2])]
+            return w
+
+        stems = [copy(center, 1, 4) for _ in range(3)]
+        family = [copy(r.choice(stems), 0, 2) for _ in range(12)]
+        marks = [np.sort(near_dedup.labelled(near_dedup.shingles(near_dedup.word_hashes(" ".join(w))))) for w in [center, *family]]
+        fix = np.sort(np.array(r.sample(marks[1].tolist(), r.choice([0, 0, 4])) + r.sample(marks[0].tolist(), r.choice([0, 3])), np.uint64))
+        fix = np.unique(fix)
+        said = [near_dedup.against_base(m, marks[0], fix) for m in marks[1:]]
+        for x in said:
+            for y in said:
+                i, j = (next(k for k in range(12) if said[k] is z) for z in (x, y))
+                a, b = marks[1 + i], marks[1 + j]
+                common = len(np.intersect1d(a, b))
+                if i == j or x[0] or common < 0.8 * (len(a) + len(b) - common):
+                    continue
+                ways = (bool(set(x[3].tolist()) & set(y[3].tolist())), bool(set(x[4].tolist()) & set(y[5].tolist())), y[2] <= 10 / 8 * len(fix) + 1e-6 and x[2] + y[2] <= (x[1] + y[1]) / 9 + 1e-6)
+                assert any(ways)
+                met[ways] += 1
+    assert sum(met.values()) > 200 and len(met) > 2
+
+
 def test_near_dedup_of_short_texts(spark):
     r = random.Random(13)
     line = words(r, 12, 3000)
