@@ -60,6 +60,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that may be broadcast; they are counted first.
+BROADCAST_ROWS = 200_000
+
+
+def checked(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, to be broadcast if it has no more than ``rows`` rows; else Spark joins it as it finds best."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def words_of(text: Column) -> Column:
     """The runs of other characters than white space, as an array; null text has none."""
     clean = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
@@ -103,9 +112,12 @@ CACHE = 150_000
 class Pieces(dict):
     """CRC-32 values (bytes, uint32) of the words and the marks in a chunk of lower-cased text."""
 
-    def __missing__(self, chunk: bytes) -> bytes:
+    def shorten(self) -> None:
         if len(self) > CACHE:
             self.clear()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        self.shorten()
         if chunk.isalnum():
             made = zlib.crc32(chunk).to_bytes(4, "little")
         else:

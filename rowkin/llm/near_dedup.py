@@ -23,8 +23,10 @@ nodes with a candidate send their words (4 bytes each) to be aligned.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import cut, mix64, small, word_hashes, written
+from .common import checked, cut, mix64, small, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
@@ -269,29 +271,31 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(compare, "a long, b long, similar boolean")
 
 
-def against_base(own: np.ndarray, center: np.ndarray, fix: np.ndarray, least: float = SIMILARITY) -> tuple[bool, int, int, np.ndarray, np.ndarray, np.ndarray]:
-    """near, n, apart, extra, gone, gone_near: what the labelled shingles (sorted) of a text say beside those of its bucket's base.
+def against_base(own: np.ndarray, center: np.ndarray, fix: np.ndarray, least: float = SIMILARITY) -> tuple[bool, int, int, int, int, np.ndarray]:
+    """near, n, apart, as_less, as_more, items: what the labelled shingles (sorted) of a text say beside those of its bucket's base.
 
     The base is the center, a text of the bucket, but for the shingles ``fix``; it may be any set, only the cost depends on it.
-    Let E be the number of shingles of a text that the base lacks, M those of the base that the text lacks, m the size of the base,
-    d that of ``fix``, f = (1 - s) / (1 + s) for the least similarity s. Texts x and y are similar only if their shingles
-    differ in at most f (n_x + n_y), and then each lacks at most (1 - s) n of the other's. They differ in those by which only
-    one of them differs from the base. A text is near if it differs from the center in at most f (n + n_c); if it isn't,
-    E + M > f (n + m) - (1 + f) d. So if x isn't near, similar x and y
-
-    - have an item of E_x in common, which then is among the first (1 - s) n + 1 of both in any one order (extra); or
-    - more than v = ((1 - f) E_y + (1 + f) (M_y - d)) / 2 items of M_y, which bounds how many of its first to look at (gone_near;
-      none if M_y is no more than v), and at least E_x + M_x - (1 - s) n_x / s of M_x, which bounds those (gone); or
-    - nothing, and then E + M of y is at most (1 + f) d / (1 - f), and E + M of both at most f (n_x + n_y) (apart).
+    The items of a text are the E shingles that the base lacks and the M of the base that it lacks; apart is E + M. Let m be
+    the size of the base, d that of ``fix``, s the least similarity, f = (1 - s) / (1 + s). Texts x and y are similar only if
+    their shingles differ in at most f (n_x + n_y), which is no more than t = (1 - s) n / s for either; and they differ just in
+    the items that one of them has. A text is near if it differs from the center in at most f (n + n_c); if x isn't near,
+    apart_x > f (n_x + m) - (1 + f) d. So similar texts x and y, of which at most one is near, have common items:
+
+    - the one less apart all but t / 2 of its own, the one more apart all but t;
+    - a near one more than (s E + M - d) / (1 + s);
+    - at least one, but where the other is apart by (1 + f) d / (1 - f) or less (``central_pairs``).
+
+    as_less and as_more say how many of its first items, in any one order, a text must look at to meet one of them.
     """
     base = differing(center, fix)
     extra, gone = lacking(own, base), lacking(base, own)
-    n, apart, f = len(own), len(extra) + len(gone), (1 - least) / (1 + least)
+    n, apart = len(own), len(extra) + len(gone)
     near = alike(own, center, least)
-    v = max(0.0, ((1 - f) * len(extra) + (1 + f) * (len(gone) - len(fix))) / 2 - 1e-9)
-    few = len(gone) - int(v) if len(gone) > v else 0
-    many = 0 if near else len(gone) - max(1, int(np.ceil(apart - (1 - least) / least * n - 1e-9))) + 1
-    return near, n, apart, extra[: int((1 - least) * n + 1e-9) + 1], gone[: max(many, 0)], gone[:few]
+    whole = Fraction(least).limit_denominator(1000)
+    t = (1 - whole) / whole * n
+    common = [1, math.ceil((whole * len(extra) + len(gone) - len(fix)) / (1 + whole) + Fraction(1, 10**6)) if near else 1]
+    less, more = max(*common, math.ceil(apart - t / 2)), max(*common, math.ceil(apart - t))
+    return near, n, apart, max(0, apart - less + 1), max(0, apart - more + 1), np.concatenate([extra, gone])
 
 
 def beside_pivot(arena: DataFrame, words: DataFrame) -> DataFrame:
@@ -325,14 +329,15 @@ def centers(links: DataFrame) -> DataFrame:
     near = near.unionByName(near.select("p").distinct().select("p", F.col("p").alias("id"), F.array().cast("array<long>").alias("differ")))
     n = near.groupBy("p").agg(F.count(F.lit(1)).alias("_n"))
     items = near.select("p", F.explode("differ").alias("item")).groupBy("p", "item").agg(F.count(F.lit(1)).alias("_c"))
-    common = items.join(n, "p").where("2 * _c > _n").groupBy("p").agg(F.collect_list("item").alias("_f"))
-    rest = near.join(common, "p", "left").withColumn("_f", F.coalesce("_f", F.array().cast("array<long>"))).select("p", "id", F.concat(F.array_except("differ", "_f"), F.array_except("_f", "differ")).alias("fix"))
+    common = items.where("_c > 1").join(checked(n), "p").where("2 * _c > _n").groupBy("p").agg(F.collect_list("item").alias("_f"))
+    rest = near.join(checked(cut(common)), "p", "left").withColumn("_f", F.coalesce("_f", F.array().cast("array<long>"))).select("p", "id", F.concat(F.array_except("differ", "_f"), F.array_except("_f", "differ")).alias("fix"))
     best = rest.groupBy("p").agg(F.min(F.struct(F.size("fix").alias("d"), "id", "fix")).alias("_b"))
     return best.select("p", F.col("_b.id").alias("center"), F.col("_b.fix").alias("fix"))
 
 
 def differences(arena: DataFrame, words: DataFrame) -> DataFrame:
     """p, id, linked (to p), d and what ``against_base`` says, of each row (p, id, fix) of ``arena``; the center is p."""
+    numbers = ["d", "n", "apart", "as_less", "as_more"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = Marks()
@@ -340,13 +345,13 @@ def differences(arena: DataFrame, words: DataFrame) -> DataFrame:
             made = []
             for i, j, x, y, fix in zip(b.column("p").to_pylist(), b.column("id").to_pylist(), b.column("_x").to_pylist(), b.column("_y").to_pylist(), b.column("fix")):
                 fixed = np.sort(fix.values.to_numpy().view(np.uint64)) if fix.is_valid else np.empty(0, np.uint64)
-                said = against_base(marks.of(j, y), marks.of(i, x), fixed)
-                made.append((said[0] and similar(x, y), len(fixed), *said))
-            plain = [pa.array([x[i] for x in made], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("id"), *plain, *[long_lists([x[i] for x in made]) for i in (5, 6, 7)]], ["p", "id", "linked", "d", "near", "n", "apart", "extra", "gone", "gone_near"])
+                near, *counts, items = against_base(marks.of(j, y), marks.of(i, x), fixed)
+                made.append((near and similar(x, y), near, len(fixed), *counts, items))
+            plain = [pa.array([x[i] for x in made], pa.bool_() if i < 2 else pa.int64()) for i in range(7)]
+            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("id"), *plain, long_lists([x[7] for x in made])], ["p", "id", "linked", "near", *numbers, "items"])
 
     both = beside_pivot(arena, words).select("p", "id", "_x", "_y", "fix")
-    return both.mapInArrow(compare, "p long, id long, linked boolean, d long, near boolean, n long, apart long, extra array<long>, gone array<long>, gone_near array<long>")
+    return both.mapInArrow(compare, "p long, id long, linked boolean, near boolean, " + ", ".join(f"{c} long" for c in numbers) + ", items array<long>")
 
 
 def long_lists(found: list[np.ndarray]) -> pa.ListArray:
@@ -439,16 +444,26 @@ def arenas(nodes: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
 FITS = f"least(n, _n) >= {SIMILARITY} * greatest(n, _n)"
 
 
-def items_of(found: DataFrame, roots: DataFrame, column: str) -> DataFrame:
-    """p, item, id, n, root, one row an item of ``column``."""
-    return with_roots(found.select("p", "id", "n", F.explode(column).alias("item")), roots)
+def first_items(found: DataFrame) -> DataFrame:
+    """p, id, n, apart, near, item, less: the first items of each text, rare ones first; less is false where only the text's more apart role looks at them.
+
+    Items of a single text are the rarest; they take places, but nothing shares them.
+    """
+    each = found.select("p", "id", F.explode("items").alias("item"))
+    often = each.groupBy("p", "item").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    shared = each.join(often, ["p", "item"]).groupBy("p", "id").agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("_i"))
+    both = found.select("p", "id", "n", "apart", "near", "as_less", "as_more").join(shared, ["p", "id"]).withColumn("_alone", F.col("apart") - F.size("_i"))
+    some = both.where("greatest(as_less, as_more) > _alone").withColumn("_i", F.expr("slice(_i, 1, CAST(greatest(as_less - _alone, as_more - _alone, 0L) AS INT))"))
+    placed = some.select("p", "id", "n", "apart", "near", (F.col("as_less") - F.col("_alone")).alias("_l"), F.posexplode("_i").alias("_at", "_one"))
+    return placed.select("p", "id", "n", "apart", "near", F.col("_one.item").alias("item"), (F.col("_at") < F.col("_l")).alias("less"))
 
 
-def mixed_only(items: DataFrame) -> DataFrame:
-    """The rows whose (p, item) two components or more have, with the most frequent component (_top) and the greatest node (_lead) of it."""
-    spans = items.groupBy("p", "item", "root").agg(F.count(F.lit(1)).alias("_c"), F.max("id").alias("_l"))
-    tops = spans.groupBy("p", "item").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("_c", "root", "_l")).alias("_t")).where("_m > 1")
-    return items.join(tops.select("p", "item", F.col("_t.root").alias("_top"), F.col("_t._l").alias("_lead")), ["p", "item"])
+def contested(items: DataFrame, roots: DataFrame) -> DataFrame:
+    """``items`` with root, of the (p, item) that two components or more have, and lead: the greatest node of the most frequent one."""
+    each = with_roots(items, roots)
+    spans = each.groupBy("p", "item", "root").agg(F.count(F.lit(1)).alias("_c"), F.max("id").alias("_l"))
+    tops = spans.groupBy("p", "item").agg(F.max(F.struct("_c", "_l")).alias("_t"), F.count(F.lit(1)).alias("_m")).where("_m > 1").select("p", "item", F.col("_t._l").alias("lead"))
+    return each.join(tops, ["p", "item"])
 
 
 def ordered_pairs(met: DataFrame) -> DataFrame:
@@ -456,17 +471,10 @@ def ordered_pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("_a", "id").alias("a"), F.greatest("_a", "id").alias("b")).distinct()
 
 
-def sharing_an_extra(items: DataFrame) -> DataFrame:
-    """a, b of different components with an extra item in common, one of them not of the item's most frequent component."""
-    pool = mixed_only(items)
-    one = pool.where("root != _top").select("p", "item", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
-    return ordered_pairs(one.join(pool, ["p", "item"]).where("root != _r").where(FITS))
-
-
-def sharing_a_gap(far: DataFrame, near: DataFrame) -> DataFrame:
-    """a, b of different components of which the first (not near to the base) and the other lack the same item of it."""
-    one = far.select("p", "item", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
-    return ordered_pairs(one.join(near, ["p", "item"]).where("root != _r").where(FITS))
+def sharing_an_item(items: DataFrame) -> DataFrame:
+    """a, b of different components with an item in common: the one less apart with the one more apart, one at least not near."""
+    one = items.where("less").select("p", "item", F.col("id").alias("_a"), F.col("n").alias("_n"), F.col("root").alias("_r"), F.col("apart").alias("_d"), F.col("near").alias("_c"))
+    return ordered_pairs(one.join(items, ["p", "item"]).where("root != _r AND _d <= apart AND NOT (near AND _c)").where(FITS))
 
 
 def near_pairs(found: DataFrame, roots: DataFrame) -> DataFrame:
@@ -522,25 +530,23 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     fixes = moved.groupBy(F.col("center").alias("p")).agg(F.min(F.struct(F.size("fix").alias("d"), "fix")).alias("_f")).select("p", F.col("_f.fix").alias("fix"))
     members = arena.unionByName(arena.select("p", F.col("p").alias("id")).distinct()).join(moved.select("p", "center"), "p", "left")
     members = members.select(F.coalesce("center", "p").alias("p"), "id").distinct().where("id != p")
+    known = early.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(links.select(F.least("p", "id"), F.greatest("p", "id")))
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal roots, known
+        pairs = cut(pairs.distinct().join(known, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            new = cut(verified(pairs, words))
+            roots, known = merged(roots, new.where("similar").select("a", "b")), known.union(new.select("a", "b"))
+
     found = cut(differences(members.join(fixes, "p", "left"), words))
     roots = merged(roots, found.where("linked").select(F.col("p").alias("a"), F.col("id").alias("b")))
-    known = early.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for each in (links, found):
-        known = known.union(each.select(F.least("p", "id"), F.greatest("p", "id")))
-
-    # A second family in a bucket is joined to its own first text before any two of its texts are compared.
-    extra = mixed_only(items_of(found, roots, "extra"))
-    lead = extra.where("root != _top OR id != _lead").withColumnRenamed("_lead", "_a").where("_a != id").join(found.select(F.col("id").alias("_a"), F.col("n").alias("_n")).distinct(), "_a").where(FITS)
-    pairs = cut(ordered_pairs(lead).join(known, ["a", "b"], "left_anti"))
-    new = cut(verified(pairs, words))
-    roots = merged(roots, new.where("similar").select("a", "b"))
-    known = known.union(new.select("a", "b"))
-
-    # What is still apart, whatever the other text's place in its component.
-    pairs = sharing_an_extra(items_of(found, roots, "extra"))
-    pairs = pairs.union(sharing_a_gap(items_of(found, roots, "gone"), items_of(found, roots, "gone_near"))).union(near_pairs(found, roots)).union(central_pairs(found, roots))
-    new = cut(verified(cut(pairs.distinct().join(known, ["a", "b"], "left_anti")), words))
-    roots = merged(roots, new.where("similar").select("a", "b"))
+    known = known.union(found.select(F.least("p", "id"), F.greatest("p", "id")))
+    items = cut(first_items(found))
+    # A second family is joined to one of its own texts before any two of its texts are compared.
+    second = contested(items, roots).where("lead != id").select("id", "n", F.col("lead").alias("_a"))
+    compared(ordered_pairs(second.join(found.select(F.col("id").alias("_a"), F.col("n").alias("_n")).distinct(), "_a").where(FITS)))
+    compared(sharing_an_item(contested(items, roots)).union(near_pairs(found, roots)).union(central_pairs(found, roots)))
 
     all_ = nodes.select("node", "id", "_first", "_copies").join(roots.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("node", "id", "_first", "_copies", F.coalesce("root", "id").alias("root"))
     each = all_.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("class_id"), F.sum("_copies").alias("class_size"), F.min(F.struct(F.col("_first").isNull().alias("x"), F.col("_first").alias("y"), F.col("id").alias("z"))).alias("_best"))
