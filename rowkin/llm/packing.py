@@ -1,21 +1,22 @@
 """Mixture-controlled packing into fixed windows by deficit round-robin.
 
-Every source is a queue of documents, cut into packets of at most ``PACKET`` tokens. In each
-round a source's deficit grows by its quantum (its target share of a window) and it sends
-packets while they fit its deficit, so a packet that ends E tokens into its queue is sent in
-round ceil(E / quantum): the rounds' state, carried over all windows and partitions, is a
-prefix sum of lengths. Packets in order of (round, source, E) form one stream, which is cut
-every ``WINDOW`` tokens: all windows but the last are full.
-
-Prefix sums are taken in two levels over parts of bounded size, on rows without tokens. The
-tokens themselves are written once to the shared folder and shuffled once, to meet the
-places of their pieces.
+Every source is a queue of documents. Each round fills one window: a queue's deficit grows by its quantum (its
+share of a window) and it sends as many whole tokens as its deficit holds; the fraction is carried to the next
+window. A window so has within a token of its share of every queue, and a document is cut only where a
+window's share of its queue ends. When a queue ends, the others share its part by weight.
+
+The rounds' state needs no walk through them: after m rounds of a phase (a stretch in which the same queues last) queue j has
+sent floor(m P_j / D) - floor(m P_(j-1) / D) tokens, P being prefix sums of the quanta. So a piece's window and place
+follow from its place in its queue, and that is a prefix sum over blocks: bounded rows of documents and their
+tokens, written once. There are no more than ``QUEUES`` queues; sources of smaller shares line up in
+one queue together, so the state on the driver is bounded, whatever the number of sources.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -24,11 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, uniform, written
+from .common import written
 
-WINDOW, PACKET = 4096, 512
-#: Documents of one queue part and rounds of one stream part, about.
-PART_ROWS, PART_ROUNDS = 2000, 256
+WINDOW = 4096
+#: A source with a share under 1 / QUEUES has no queue of its own.
+QUEUES = 64
+#: Parts of a window in which quanta are counted: P stays under 2^28, and so m P under 2^63 up to 2^35 windows.
+UNITS = 1 << 16
+#: Tokens of a block, about: a document is never cut there.
+BLOCK = 1 << 18
 #: Chunks of text whose ids a worker keeps at most.
 CACHE = 400_000
 #: Texts that are encoded together.
@@ -123,90 +128,210 @@ def chunks(path: str) -> Chunks:
     return Chunks(path)
 
 
+BLOCKS = "docs array<struct<id:bigint,source:string,n:bigint>>, data binary"
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """_uid, _id, _source, _n, _ids of each row, written to the shared folder. _ids: bytes of the ids and the end id."""
-    plain = docs.select(F.monotonically_increasing_id().alias("_uid"), F.col(doc_id).cast("long").alias("_id"), F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
+    """block and ``BLOCKS``: documents in blocks of about ``BLOCK`` tokens, in the shared folder. data: the ids of all, each document's followed by the end id."""
+    plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
+    kind = pa.struct([("id", pa.int64()), ("source", pa.string()), ("n", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = chunks(path)
         end, size = np.array([end_id], known.kind).tobytes(), known.kind.itemsize
+        rows, held, tokens = [], [], 0
+
+        def block() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([rows], pa.list_(kind)), pa.array([b"".join(held)], pa.binary())], ["docs", "data"])
+
         for b in batches:
-            made = [x + end for i in range(0, len(b), TOGETHER) for x in known.of(b.column("_text").slice(i, TOGETHER))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) // size for x in made], pa.int64()), pa.array(made, pa.binary())], ["_uid", "_id", "_source", "_n", "_ids"])
+            for at in range(0, len(b), TOGETHER):
+                part = b.slice(at, TOGETHER)
+                for i, s, x in zip(part.column("_id").to_pylist(), part.column("_source").to_pylist(), known.of(part.column("_text"))):
+                    held += (x, end)
+                    rows.append({"id": i, "source": s, "n": len(x) // size + 1})
+                    tokens += rows[-1]["n"]
+                    if tokens >= BLOCK:
+                        yield block()
+                        rows, held, tokens = [], [], 0
+        if rows:
+            yield block()
+
+    return written(plain.mapInArrow(encode, BLOCKS).withColumn("block", F.monotonically_increasing_id()), "tokens")
+
+
+@dataclass
+class Phase:
+    """``rounds`` windows from ``first`` on, before which queue j has sent sent[j] tokens and in which its quantum is (ends[j] - ends[j - 1]) / per."""
 
-    return written(plain.mapInArrow(encode, "_uid long, _id long, _source string, _n long, _ids binary"), "tokens")
+    first: int
+    rounds: int
+    ends: list[int]
+    per: int
+    sent: list[int]
 
 
-def places(lengths: DataFrame, shares: dict[str | None, float] | None = None, window: int = WINDOW, packet: int = PACKET) -> DataFrame:
-    """_uid, start, length, sequence_id, offset of each piece of the rows (_uid, _id, _source, _n).
+def allotted(m: int, ends: list[int], per: int) -> list[int]:
+    """What each queue has sent after ``m`` rounds; with whole rounds they fill m windows exactly."""
+    upto = [m * e // per for e in ends]
+    return [b - a for a, b in zip([0, *upto], upto)]
 
-    ``shares``: weight of each source in a window; None: its share of all tokens, so that all queues
-    end together. A source that ``shares`` lacks, or one still left when others have ended, keeps its pace.
+
+def schedule(tokens: list[int], weights: list[float], window: int = WINDOW) -> list[Phase]:
+    """The phases in which queues of so many ``tokens`` fill all windows, shares by ``weights`` among queues that last.
+
+    A queue that lasts has a token of each window at least. The window in which a queue ends takes what it has left, the others fill up.
+    """
+    sent, at, out = [0] * len(tokens), 0, []
+    while any(s < t for s, t in zip(sent, tokens)):
+        left = [t - s for s, t in zip(sent, tokens)]
+        if sum(left) <= window:
+            rounds, ends, per = 1, list(np.cumsum(left, dtype=object)), 1
+        else:
+            open_ = [j for j, x in enumerate(left) if x]
+            total, least = sum(weights[j] for j in open_), -(-UNITS // window)
+            units = [max(least, round(UNITS * weights[j] / total)) if x else 0 for j, x in enumerate(left)]
+            units[max(open_, key=lambda j: units[j])] += UNITS - sum(units)
+            ends, per = [window * int(e) for e in np.cumsum(units)], UNITS
+            low, high = 0, 1 << 35
+            while low < high:  # the most rounds for which no queue is too short
+                m = (low + high + 1) // 2
+                low, high = (m, high) if all(a <= x for a, x in zip(allotted(m, ends, per), left)) else (low, m - 1)
+            rounds = low
+            if not rounds:
+                take, want = [0] * len(left), window
+                while want:  # what ends gives all it has, until the rest can fill the window by weight
+                    rest = [j for j in open_ if take[j] < left[j]]
+                    share = sum(weights[j] for j in rest)
+                    deal = [min(left[j] - take[j], max(1, int(want * weights[j] / share))) for j in rest]
+                    for j, d in zip(rest, deal):
+                        d = min(d, want)
+                        take[j] += d
+                        want -= d
+                rounds, ends, per = 1, list(np.cumsum(take, dtype=object)), 1
+        out.append(Phase(at, rounds, [int(e) for e in ends], per, sent))
+        sent = [s + a for s, a in zip(sent, allotted(rounds, ends, per))]
+        at += rounds
+    return out
+
+
+class Queue:
+    """Where the tokens of one queue go."""
+
+    def __init__(self, phases: list[Phase], j: int) -> None:
+        column = lambda f: np.array([f(p) for p in phases], np.int64)
+        self.first, self.sent, self.per = column(lambda p: p.first), column(lambda p: p.sent[j]), column(lambda p: p.per)
+        self.low, self.high = column(lambda p: p.ends[j - 1] if j else 0), column(lambda p: p.ends[j])
+
+    def begin(self, phase: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Tokens of the queue before round ``m`` of ``phase``."""
+        return self.sent[phase] + m * self.high[phase] // self.per[phase] - m * self.low[phase] // self.per[phase]
+
+    def window(self, at: np.ndarray) -> np.ndarray:
+        """The window of each token of the queue, by its place there."""
+        phase = np.searchsorted(self.sent, at, "right") - 1
+        m = (at - self.sent[phase]) * self.per[phase] // np.maximum(self.high[phase] - self.low[phase], 1)
+        for _ in range(3):  # the quotient is right but for a round or two
+            m = np.where(self.begin(phase, m) > at, m - 1, m)
+            m = np.where(self.begin(phase, m + 1) <= at, m + 1, m)
+        return self.first[phase] + m
+
+    def spans(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each window: the queue's first token there, its end, and the offset of the first."""
+        phase = np.searchsorted(self.first, windows, "right") - 1
+        m = windows - self.first[phase]
+        return self.begin(phase, m), self.begin(phase, m + 1), (m + 1) * self.low[phase] // self.per[phase] - m * self.low[phase] // self.per[phase]
+
+    def pieces(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of documents of ``n`` tokens from places ``at`` on: number of the document, start there, length, window, offset of every piece."""
+        first = self.window(at)
+        each = self.window(at + n - 1) - first + 1
+        doc = np.repeat(np.arange(len(at)), each)
+        windows = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)
+        begin, end, offset = self.spans(windows)
+        low, high = np.maximum(begin, at[doc]), np.minimum(end, (at + n)[doc])
+        some = high > low
+        return tuple(x[some] for x in (doc, low - at[doc], high - low, windows, offset + low - begin))
+
+
+def queues(totals: DataFrame, shares: dict[str | None, float] | None = None) -> tuple[list[str | None], list[int], list[float]]:
+    """Names, tokens and weights of the queues for the sources' ``totals`` (source, tokens); the last, "", is that of all other sources.
+
+    ``shares``: the weights of sources; others get theirs by tokens, as if all had. None: by tokens, so that all queues end together.
+    At most ``QUEUES`` rows and a sum reach the driver.
+    """
+    all_ = int(totals.agg(F.sum("tokens")).first()[0] or 0)
+    large = F.col("tokens") * QUEUES >= all_
+    named = [k for k in (shares or {})][:QUEUES]
+    if named:
+        large = F.coalesce(F.col("source").isin([k for k in named if k is not None]), F.lit(None in named))
+    rows = sorted(totals.where(large).collect(), key=lambda r: (r["source"] is None, r["source"] or ""))
+    names, tokens = [r["source"] for r in rows], [int(r["tokens"]) for r in rows]
+    rest = all_ - sum(tokens)
+    if not shares:
+        return [*names, ""], [*tokens, rest], [float(x) for x in (*tokens, rest)]
+    given = sum(shares.values())
+    return [*names, ""], [*tokens, rest], [*(float(shares[k]) / given for k in names), rest / max(1, all_)]
+
+
+def starts(sums: DataFrame) -> DataFrame:
+    """block, places: for each queue of a block (block, queue, n) the tokens of the queue in blocks before it.
+
+    Prefix sums in two levels: over the blocks that one task wrote, and over tasks (a row for each and queue).
     """
-    spark = lengths.sparkSession
-    totals = lengths.groupBy("_source").agg(F.sum("_n").alias("_tokens"), F.count(F.lit(1)).alias("_docs"))
-    if shares is None:
-        quantum = F.greatest(F.col("_tokens") * F.lit(float(window)) / F.sum("_tokens").over(Window.partitionBy()), F.lit(1e-6))
-        totals = totals.withColumn("_quantum", quantum)
-    else:
-        given = spark.createDataFrame([(k, float(v) / sum(shares.values())) for k, v in shares.items()], "_g string, _w double")
-        totals = totals.join(F.broadcast(given), F.col("_source").eqNullSafe(F.col("_g")), "left").withColumn("_quantum", F.coalesce(F.col("_w"), F.lit(min(shares.values()) / sum(shares.values()))) * window).drop("_g", "_w")
-    totals = totals.select(F.col("_source").alias("_s"), "_quantum", F.ceil(F.col("_docs") / PART_ROWS).alias("_parts"))
-
-    queue = lengths.withColumn("_u", uniform("_id", "_uid", seed=7)).join(totals, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_part", F.floor(F.col("_u") * F.col("_parts")).cast("long")).drop("_s", "_parts")
-    parts = queue.groupBy(F.col("_source").alias("_s"), F.col("_part").alias("_p")).agg(F.sum("_n").alias("_sum"))
-    parts = parts.withColumn("_base", F.sum("_sum").over(Window.partitionBy("_s").orderBy("_p")) - F.col("_sum"))
-    queue = queue.join(parts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
-    inside = F.sum("_n").over(Window.partitionBy("_source", "_part").orderBy("_u", "_uid"))
-    queue = queue.withColumn("_from", F.col("_base") + inside - F.col("_n"))
-
-    packets = queue.select("_uid", "_source", "_quantum", "_from", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / packet) - 1)).alias("_j"))
-    packets = packets.select("_uid", "_source", "_quantum", (F.col("_j") * packet).alias("_start"), F.least(F.lit(packet), F.col("_n") - F.col("_j") * packet).alias("_len"), "_from")
-    packets = packets.withColumn("_end", F.col("_from") + F.col("_start") + F.col("_len")).withColumn("_round", F.ceil(F.col("_end") / F.col("_quantum")).cast("long"))
-    packets = cut(packets.select("_uid", "_source", "_start", "_len", "_end", "_round", F.floor(F.col("_round") / PART_ROUNDS).alias("_part")))
-
-    parts = packets.groupBy(F.col("_part").alias("_p")).agg(F.sum("_len").alias("_sum"))
-    parts = parts.withColumn("_base", F.sum("_sum").over(Window.orderBy("_p")) - F.col("_sum"))
-    stream = packets.join(parts, F.col("_part") == F.col("_p"))
-    inside = F.sum("_len").over(Window.partitionBy("_part").orderBy("_round", "_source", "_end", "_uid"))
-    stream = stream.withColumn("_at", F.col("_base") + inside - F.col("_len"))
-    first, last = F.floor(F.col("_at") / window), F.floor((F.col("_at") + F.col("_len") - 1) / window)
-    pieces = stream.select("_uid", "_start", "_len", "_at", F.explode(F.sequence(first, last)).alias("sequence_id"))
-    begin = F.greatest(F.col("_at"), F.col("sequence_id") * window)
-    end = F.least(F.col("_at") + F.col("_len"), (F.col("sequence_id") + 1) * window)
-    return pieces.select("_uid", (F.col("_start") + begin - F.col("_at")).alias("start"), (end - begin).alias("length"), "sequence_id", (begin - F.col("sequence_id") * window).alias("offset"))
+    part = F.shiftright("block", 33)
+    parts = sums.groupBy("queue", part.alias("_p")).agg(F.sum("n").alias("_sum"))
+    parts = parts.select("queue", "_p", (F.sum("_sum").over(Window.partitionBy("queue").orderBy("_p")) - F.col("_sum")).alias("_base"))
+    inside = F.sum("n").over(Window.partitionBy("queue", "_p").orderBy("block")) - F.col("n")
+    each = sums.withColumn("_p", part).withColumn("_in", inside).join(parts, ["queue", "_p"])
+    return each.groupBy("block").agg(F.collect_list(F.struct("queue", (F.col("_base") + F.col("_in")).alias("at"))).alias("places"))
+
+
+PIECES = "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
 def packed(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", source: str = "source", shares: dict[str | None, float] | None = None, window: int = WINDOW) -> DataFrame:
-    """doc_id, source, start, length, doc_tokens, sequence_id, offset, ids (bytes, uint32 little-endian) of each piece.
+    """``PIECES``: doc_id, source, start, length, doc_tokens, sequence_id, offset, ids (bytes, uint32 little-endian) of each piece.
 
-    Null or empty text is the end id alone. Rows that repeat an id are packed each on its own. A
-    null source is a queue. Neighbouring packets of a document in a window are one piece. Only
-    the last sequence can be short of ``window``. An empty table gives an empty result.
+    Null or empty text is the end id alone. Rows that repeat an id are packed each on its own. A null source is a source. Ids are
+    whole numbers; null ids stay. Only the last sequence can be short of ``window``. An empty table gives an empty result.
     """
-    tokens = tokenized(docs, path, end_id, text, doc_id, source)
-    where = places(tokens.drop("_ids"), shares, window).groupBy("_uid").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("_pieces"))
-    both = tokens.join(where, "_uid").select("_id", "_source", "_n", "_ids", "_pieces")
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = chunks(path).kind
+    made = tokenized(docs, path, end_id, text, doc_id, source)
+    sums = made.select("block", F.explode("docs").alias("_d")).groupBy("block", F.col("_d.source").alias("source")).agg(F.sum("_d.n").alias("n"))
+    sums = written(sums, "sums")
+    names, tokens, weights = queues(sums.groupBy("source").agg(F.sum("n").alias("tokens")), shares)
+    phases = schedule(tokens, weights, window)
+    own = {k: j for j, k in enumerate(names[:-1])}
+    number = F.lit(len(own))
+    for k, j in own.items():
+        number = F.when(F.col("source").eqNullSafe(F.lit(k)), j).otherwise(number)
+    where = starts(sums.groupBy("block", number.alias("queue")).agg(F.sum("n").alias("n")))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, lines = chunks(path).kind, [Queue(phases, j) for j in range(len(names))]
         for b in batches:
-            found = b.column("_pieces")
-            doc = np.repeat(np.arange(len(b)), np.diff(found.offsets.to_numpy()))
-            flat = found.flatten()
-            start, length, seq, offset = (flat.field(i).to_numpy() for i in range(4))
-            order = np.lexsort((start, doc))
-            doc, start, length, seq, offset = (x[order] for x in (doc, start, length, seq, offset))
-            new = np.ones(len(doc), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (seq[1:] != seq[:-1]) | (offset[1:] != offset[:-1] + length[:-1])
-            at = np.flatnonzero(new)
-            length = np.add.reduceat(length, at) if len(at) else length
-            # The pieces of a document, in order, are all its ids; so are those of a batch.
-            ids = np.frombuffer(b"".join(b.column("_ids").to_pylist()), kind).astype("<u4")
-            ends = np.concatenate([[0], np.cumsum(length)]) * 4
-            data = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
-            rows = pa.array(doc[at])
-            cols = [b.column("_id").take(rows), b.column("_source").take(rows), pa.array(start[at]), pa.array(length), b.column("_n").take(rows), pa.array(seq[at]), pa.array(offset[at]), data.cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-
-    return both.mapInArrow(pieces, "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+            for r in range(len(b)):
+                rows = b.column("docs")[r].values
+                n = rows.field("n").to_numpy()
+                line = np.fromiter((own.get(s, len(own)) for s in rows.field("source").to_pylist()), np.int64, len(n))
+                first = np.cumsum(n) - n
+                found = []
+                for p in b.column("places")[r].as_py():
+                    mine = np.flatnonzero(line == p["queue"])
+                    at = p["at"] + np.cumsum(n[mine]) - n[mine]
+                    doc, *rest = lines[p["queue"]].pieces(at, n[mine])
+                    found.append((mine[doc], *rest))
+                doc, start, length, seq, offset = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((start, doc))
+                doc, start, length, seq, offset = (x[order] for x in (doc, start, length, seq, offset))
+                # The pieces of a document, in order, are all its ids; so are those of a block.
+                ids = np.frombuffer(b.column("data")[r].as_py(), kind).astype("<u4")
+                if len(ids) != n.sum() or (first[doc] + start != np.cumsum(length) - length).any():
+                    raise ValueError("pieces do not cover the documents")
+                ends = np.concatenate([[0], np.cumsum(length)]) * 4
+                data = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
+                at = pa.array(doc)
+                cols = [rows.field("id").take(at), rows.field("source").take(at), pa.array(start), pa.array(length), rows.field("n").take(at), pa.array(seq), pa.array(offset), data.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    return made.join(where, "block").select("docs", "data", "places").mapInArrow(place, PIECES)
