@@ -42,10 +42,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT (
     n_symbols > 0.3 * n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR n_dup_lines > 0.3 * len(ls)
     OR len(list_filter(ws, lambda w: regexp_matches(w, '\p{L}'))) < 0.6 * n_words
-    OR len(list_filter(ws, lambda w: regexp_matches(w, '\p{Lu}\p{Ll}*\p{Lu}') AND NOT regexp_matches(w, '\p{Ll}'))) > 0.5 * n_words
+    OR len(list_filter(ws, lambda w: regexp_matches(w, '\p{Lu}\P{Ll}*\p{Lu}') AND NOT regexp_matches(w, '\p{Ll}'))) > 0.5 * n_words
     OR (n_words >= 50 AND len(list_distinct(ws)) < 0.1 * n_words)
-    OR len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) > 0.3 * len(ls)
-    OR len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[•*-]\s'))) > 0.9 * len(ls)) AS kept
+    OR len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) > 0.3 * len(ls)
+    OR len(list_filter(ls, lambda x: regexp_matches(x, '\A[\x20\x09-\x0D]*[•*-][\x20\x09-\x0D]'))) > 0.9 * len(ls)) AS kept
 FROM f
 """
 
