@@ -109,7 +109,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     The sources' sizes (one row a source) go to the driver, where their targets are set.
     """
     spark = docs.sparkSession
-    sized = cut(docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size")))
+    sized = cut(docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"), F.monotonically_increasing_id().alias("_row")))
     hist = cut(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     sizes = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs")).toPandas()
     sizes["source"] = sizes["source"].astype(object).where(sizes["source"].notna(), None)
@@ -127,13 +127,16 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
     # Documents of a class are dealt to parts by hash; each part has its share of the class's copies.
     dealt = sized.join(copies, sized["source"].eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")))
-    dealt = dealt.withColumn("_u", uniform(F.col("_id"), seed=11)).withColumn("_part", F.floor(F.col("_u") * F.col("_parts")).cast("long"))
+    # Rows without an id are told apart by their place alone: any of a class may have its copies.
+    dealt = dealt.withColumn("_u", uniform(F.col("_id"), F.when(F.col("_id").isNull(), F.col("_row")), seed=11)).withColumn("_part", F.floor(F.col("_u") * F.col("_parts")).cast("long"))
     counts = dealt.groupBy("_s", "_z", "_part").agg(F.count(F.lit(1)).alias("_m"))
     before = F.sum("_m").over(Window.partitionBy("_s", "_z").orderBy("_part"))
     counts = counts.withColumn("_upto", before).select(F.col("_s").alias("_s2"), F.col("_z").alias("_z2"), F.col("_part").alias("_p2"), "_m", "_upto")
     both = dealt.join(counts, F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("size") == F.col("_z2")) & (F.col("_part") == F.col("_p2")))
-    quota = F.floor(F.col("_k") * F.col("_upto") / F.col("n")) - F.floor(F.col("_k") * (F.col("_upto") - F.col("_m")) / F.col("n"))
-    rank = F.row_number().over(Window.partitionBy("_s", "size", "_part").orderBy("_u", "_id"))
+    # Whole numbers throughout: products of two row counts need more than 64 bits.
+    upto = lambda m: F.expr(f"CAST(_k AS DECIMAL(19, 0)) * CAST({m} AS DECIMAL(19, 0)) div CAST(n AS DECIMAL(19, 0))")
+    quota = upto("_upto") - upto("_upto - _m")
+    rank = F.row_number().over(Window.partitionBy("_s", "size", "_part").orderBy("_u", "_id", "_row"))
     both = both.withColumn("_quota", quota.cast("long")).withColumn("_rank", rank)
     made = F.floor(F.col("_quota") / F.col("_m")) + F.when(F.col("_rank") <= F.pmod("_quota", "_m"), 1).otherwise(0)
     return both.select(F.col("_id").alias(doc_id), F.col("source").alias("_source"), "size", "source_size", "target", made.cast("long").alias("copies"))
