@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN
+from .common import BLANK_RUN, checked, cut
 
 #: Runs that one round merges into one, and the number of leaf runs.
 FAN, LEAVES = 16, 4096
@@ -71,12 +71,18 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns unchanged."""
+    """``docs`` with one row of each group of equal texts, all columns unchanged.
+
+    What stays is settled on rows without texts. Only digests that occur twice or more go back to the texts, as a broadcast table
+    while they are few (they are counted); then a copy is lost where it is read, and just the texts that stay of such groups are
+    shuffled, to drop rows that repeat one in everything. Null text counts as empty. An empty table gives an empty result.
+    """
     columns = docs.columns
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
     keyed = digests(whole, f"_row.`{text}`", f"_row.`{doc_id}`", keep=("_row",))
-    narrow = keyed.select("_sha", "_check", "_rank")
-    best = merge_tree(narrow)
-    stay = keyed.join(best, (keyed["_sha"] == best["_sha"]) & (keyed["_check"] == best["_check"]) & keyed["_rank"].eqNullSafe(best["_best"]), "left_semi")
+    several = cut(merge_tree(keyed.select("_sha", "_check", "_rank")).where("_size > 1"))
+    found = keyed.join(checked(several.select("_sha", "_check", "_best")), ["_sha", "_check"], "left")
+    alone = found.where("_best IS NULL").select("_row.*")
     one = Window.partitionBy("_sha", "_check").orderBy("_rank")
-    return stay.withColumn("_turn", F.row_number().over(one)).where("_turn = 1").select("_row.*")
+    stay = found.where(F.col("_rank").eqNullSafe(F.col("_best"))).withColumn("_turn", F.row_number().over(one)).where("_turn = 1").select("_row.*")
+    return alone.unionByName(stay)
