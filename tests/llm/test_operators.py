@@ -648,8 +648,9 @@ def test_lm_scores_by_brute_force(spark, monkeypatch):
 
 def test_lm_counts_are_whole_numbers_of_any_size():
     """A run that occurs 2^40 times in each of two blocks."""
-    keys = np.array([1, 2, 3], np.uint64)
-    rows = pa.table({"shard": pa.array([0, 0], pa.int32()), "block": pa.array([7, 5]), "singles": pa.array([1, 1], pa.int32()), "keys": [lm_scoring.short_keys(keys[:2]).tobytes(), lm_scoring.short_keys(keys[1:]).tobytes()], "all_": [lm_scoring.packed(np.array([4, 1 << 40])), lm_scoring.packed(np.array([1 << 40, 9]))], "good": [lm_scoring.packed(np.zeros(2, np.int64))] * 2})
+    keys = np.array([5, 1, 7], np.uint64)  # the second block asks for two words, one of which the first has as well
+    rows = pa.table({"shard": pa.array([0, 0], pa.int32()), "block": pa.array([7, 5]), "n": pa.array([2, 2], pa.int32()), "singles": pa.array([1, 1], pa.int32()), "keys": [lm_scoring.steps(keys[:2], 1), lm_scoring.steps(keys[1:], 1)], "all_": [lm_scoring.packed(np.array([4, 1 << 40])), lm_scoring.packed(np.array([1 << 40, 9]))], "good": [lm_scoring.packed(np.zeros(2, np.int64))] * 2})
+    assert lm_scoring.keys_of(lm_scoring.steps(keys[:2], 1), 2, 1).tolist() == [5, 1]
     said = {x["block"]: x for x in lm_scoring.answer(rows).to_pylist()}
     assert lm_scoring.unpacked(said[7]["all_"], 2, "<i8").tolist() == [4, 1 << 41] and lm_scoring.unpacked(said[5]["all_"], 2, "<i8").tolist() == [1 << 41, 9]
     assert (said[5]["fresh"], said[7]["fresh"]) == (1, 1)
