@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,17 +55,23 @@ def check_lists(rows: DataFrame, required: DataFrame, targets: DataFrame | None
     return reduce(DataFrame.unionByName, found)
 
 
-def check_order(rows: DataFrame, references: DataFrame) -> DataFrame:
-    """References whose place among the lines differs: both tables carry line, places are counted from the first."""
-    place = lambda df, c: df.select(F.col(c).alias("_a"), F.row_number().over(_by_line()).alias("_n"))
-    got, want = place(rows, "anchor"), place(references, "entity_id").withColumnRenamed("_a", "_b")
-    return _problem(want.join(got, "_n", "full").where(~F.col("_a").eqNullSafe(F.col("_b"))), "order", F.coalesce("_b", "_a"))
+#: Lines that one task numbers.
+LINES = 1 << 16
+
 
+def places(rows: DataFrame, of: str) -> DataFrame:
+    """_a, _n: ``of`` and its place among the rows by line, from 1. Blocks of ``LINES`` line numbers count for themselves; only a row a block is summed up in one task."""
+    block = rows.select(F.col(of).alias("_a"), "line", F.floor(F.col("line") / LINES).alias("_b"))
+    counts = block.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    before = counts.select("_b", (F.sum("_c").over(Window.orderBy("_b")) - F.col("_c")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy("line", "_a"))
+    return block.withColumn("_i", inside).join(before, "_b").select("_a", (F.col("_before") + F.col("_i")).alias("_n"))
 
-def _by_line():
-    from pyspark.sql import Window
 
-    return Window.orderBy("line")
+def check_order(rows: DataFrame, references: DataFrame) -> DataFrame:
+    """References whose place among the lines differs: both tables carry line, places are counted from the first; rows of one line by anchor."""
+    got, want = places(rows, "anchor"), places(references, "entity_id").withColumnRenamed("_a", "_e")
+    return _problem(want.join(got, "_n", "full").where(~F.col("_a").eqNullSafe(F.col("_e"))), "order", F.coalesce("_e", "_a"))
 
 
 def check_subset(matches: DataFrame, candidates: DataFrame, severity: str = "warning") -> DataFrame:

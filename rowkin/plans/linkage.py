@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import records
 from ..operators import blocking, features, sampling, validate
+from ..sources.shared import written
 from ..sources.sinks import numbered, wide
 from . import cascade
 
@@ -21,12 +22,17 @@ class Records:
     sources: DataFrame
 
 
-def split(raw: DataFrame) -> Records:
-    """From raw records of sources 1, 2, 3: references with reference frequencies, sources with source frequencies."""
-    made = records(raw)
+def with_frequencies(made: DataFrame) -> Records:
+    """From normalized records of sources 1, 2, 3: references with reference frequencies, sources with source frequencies."""
     return Records(features.with_reference_frequencies(made.where("source = 1")), features.with_source_frequencies(made.where("source != 1")))
 
 
+def split(raw: DataFrame) -> Records:
+    """From raw records: references and sources. Records are normalized once and kept as a table, and so are both results, as each is read several times."""
+    found = with_frequencies(written(records(raw), "records", ("source",)))
+    return Records(written(found.references, "references"), written(found.sources, "sources"))
+
+
 def gated_pairs(found: Records, sample: DataFrame | None = None) -> DataFrame:
     """anchor, candidate, x, y, s of blocked pairs that pass the gate; of the references in ``sample`` if given, keys counted over all."""
     references = found.references if sample is None else sample
@@ -35,18 +41,23 @@ def gated_pairs(found: Records, sample: DataFrame | None = None) -> DataFrame:
 
 
 def prepare(raw: DataFrame, truth: DataFrame, rate: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """(pairs, anchors) to train on. Matches that blocking missed are added for fit groups only."""
-    found = split(raw)
+    """(pairs, anchors) to train on. Matches that blocking missed are added for fit groups only. Every pair is scored once."""
+    return prepared(split(raw), truth, rate)
+
+
+def prepared(found: Records, truth: DataFrame, rate: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """``prepare`` for records that are normalized already."""
     sample = sampling.sampled(found.references, rate)
     matches = sampling.checked_truth(truth, sample)
     grouped = sample.withColumn("group", sampling.group_of())
     true = matches.groupBy("anchor").agg(F.count(F.lit(1)).alias("true"))
-    anchors = grouped.select(F.col("entity_id").alias("anchor"), "country", "group").join(true, "anchor", "left").fillna(0, ["true"])
-    retrieved = gated_pairs(found, sample).select("anchor", "candidate")
+    anchors = written(grouped.select(F.col("entity_id").alias("anchor"), "country", "group").join(true, "anchor", "left").fillna(0, ["true"]), "anchors")
+    retrieved = written(gated_pairs(found, sample), "retrieved")
     same = matches.join(anchors.where("group < 6").select("anchor", "country"), "anchor").join(found.sources.select(F.col("entity_id").alias("candidate"), "country"), ["candidate", "country"])
-    pairs = sampling.labelled(sampling.injected(retrieved, same.select("anchor", "candidate")), matches).join(anchors.select("anchor", "group"), "anchor")
-    whole = features.scored_for_gate(blocking.paired(pairs, sample, found.sources))
-    return features.model_columns(whole).drop("x", "y", "s"), anchors
+    missed = same.select("anchor", "candidate").distinct().join(retrieved, ["anchor", "candidate"], "left_anti")
+    whole = retrieved.withColumn("retrieved", F.lit(1)).unionByName(features.scored_for_gate(blocking.paired(missed, sample, found.sources)).withColumn("retrieved", F.lit(0)))
+    pairs = sampling.labelled(whole, matches).join(anchors.select("anchor", "group"), "anchor")
+    return features.model_columns(pairs).drop("x", "y", "s"), anchors
 
 
 def link(raw: DataFrame, bundle: cascade.Bundle, override: float | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from ..constants import BASE_COLUMNS, EXTRA_COLUMNS, KEY_CAPS, MODEL_COLUMNS, RE
 from ..functions import normalize, similarity
 from ..operators import blocking, diagnose, evaluate, features, sampling, validate
 from ..sources import sinks, tables
+from ..sources.shared import shared_dir
 from . import linkage, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +30,15 @@ def query(oracle: str | None = None):
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
-    return normalize.records(tables.parties(spark, d))
+    """Normalized records of the parties, from their cache: made when the tables have changed, read by every query after."""
+    inputs = [f"{d}/{t}.parquet" for t in ("region", "nation", "customer", "supplier")]
+    return tables.normalized(tables.parties(spark, d), inputs, f"{shared_dir(spark)}/parties")
+
+
+def document_pairs(spark: SparkSession, d: str) -> DataFrame:
+    made = tables.normalized(tables.document_parties(spark, d), [f"{d}/documents.parquet"], f"{shared_dir(spark)}/document-parties")
+    one, rest = made.where("source = 1"), made.where("source != 1")
+    return blocking.paired(blocking.candidates(one, rest), one, rest)
 
 
 def split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -70,6 +79,11 @@ def link_parties(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {sql.RECORDS} SELECT entity_id, name, address, country, core, source FROM rec")
 def norm_record(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.records(tables.parties(spark, d))
+
+
+@query(f"WITH {sql.RECORDS} SELECT entity_id, name, address, country, core, source FROM rec")
+def normalized_cache(spark: SparkSession, d: str) -> DataFrame:
     return records(spark, d)
 
 
@@ -169,16 +183,48 @@ def jw_pairs(spark: SparkSession, d: str) -> DataFrame:
     return rounded(pairs(spark, d).select("anchor", "candidate", similarity.scorer(similarity.jaro_winkler)("x.name", "y.name").alias("similarity")))
 
 
-def _kernel_query(name: str, kernel, field: str = "core") -> None:
+def _kernel_query(name: str, kernel, column: str | None = None, field: str = "core") -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
         return rounded(features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.scorer(kernel)(f"x.{field}", f"y.{field}").alias("similarity")))
 
     run.__name__ = name
-    query()(run)
+    x, y = f"x{field[0]}", f"y{field[0]}"
+    query(column and f"WITH {sql.PAIRS}, {sql.kernels(x, y)} SELECT anchor, candidate, round({column}, 6) AS similarity FROM pairs JOIN kernels ON a = {x} AND b = {y}")(run)
+
+
+for _name, _kernel, _column in (("indel_ratio_pairs", similarity.ratio, "ratio"), ("token_sort_pairs", similarity.token_sort, "token_sort"), ("token_set_pairs", similarity.token_set, "token_set"), ("partial_ratio_pairs", similarity.partial, None)):
+    _kernel_query(_name, _kernel, _column)
+
 
+@query(sql.for_documents(f"""WITH {sql.PAIRS}, {sql.kernels('xa', 'ya')} SELECT anchor, candidate, round(ratio, 6) AS ratio, round(token_sort, 6) AS token_sort, round(token_set, 6) AS token_set
+FROM pairs JOIN kernels ON a = xa AND b = ya"""))
+def kernels_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The kernels on what documents say: natural words, of which many pairs share some."""
+    kernels = {"ratio": similarity.ratio, "token_sort": similarity.token_sort, "token_set": similarity.token_set}
+    return rounded(features.spread(document_pairs(spark, d)).select("anchor", "candidate", *[similarity.scorer(k)("x.address", "y.address").alias(n) for n, k in kernels.items()]))
 
-for _name, _kernel in (("indel_ratio_pairs", similarity.ratio), ("token_sort_pairs", similarity.token_sort), ("token_set_pairs", similarity.token_set), ("partial_ratio_pairs", similarity.partial)):
-    _kernel_query(_name, _kernel)
+
+@query(f"""WITH {sql.PAIRS}, e AS (SELECT DISTINCT xc, yc, unnest({sql.words('xc')}) AS u FROM pairs), texts AS (SELECT DISTINCT u AS a, unnest({sql.words('yc')}) AS b FROM e),{sql.KERNELS},
+t AS (SELECT xc, unnest({sql.words('xc')}) AS u, range(len({sql.words('xc')})) AS i, yc FROM (SELECT DISTINCT xc, yc FROM pairs)),
+w AS (SELECT xc, yc, u, max(ratio) / 100 AS best FROM (SELECT DISTINCT xc, yc, u, unnest({sql.words('yc')}) AS v FROM e) JOIN kernels ON a = u AND b = v GROUP BY ALL),
+s AS (SELECT xc, yc, min(coalesce(best, 0)) AS worst, avg(coalesce(best, 0)) AS mean FROM t LEFT JOIN w USING (xc, yc, u) GROUP BY ALL)
+SELECT anchor, candidate, round(coalesce(worst, 0), 6) AS worst_token, round(coalesce(mean, 0), 6) AS mean_token FROM pairs LEFT JOIN s USING (xc, yc)""")
+def best_token_pairs(spark: SparkSession, d: str) -> DataFrame:
+    made = features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.full_scores().alias("f"))
+    return rounded(made.select("anchor", "candidate", "f.worst_token", "f.mean_token"))
+
+
+def _only(x: str, y: str) -> str:
+    return f"list_filter(list_distinct({sql.numbers(x)}), lambda n: NOT list_contains({sql.numbers(y)}, n))"
+
+
+@query(f"""WITH {sql.PAIRS}, l AS (SELECT DISTINCT xa, ya, unnest({_only('xa', 'ya')}) AS u FROM pairs), n AS (SELECT xa, ya, u AS a, unnest({_only('ya', 'xa')}) AS b FROM l),
+texts AS (SELECT DISTINCT a, b FROM n),{sql.KERNELS}, s AS (SELECT xa, ya, max(ratio) / 100 AS best FROM n JOIN kernels USING (a, b) GROUP BY ALL)
+SELECT anchor, candidate, round(coalesce(best, 0), 6) AS similarity FROM pairs LEFT JOIN s USING (xa, ya)""")
+def number_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
+    na, nb = (normalize.numbers(F.col(f"{side}.address")) for side in ("x", "y"))
+    made = features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.best_number_ratio(F.array_except(na, nb), F.array_except(nb, na)).alias("similarity"))
+    return rounded(made)
 
 
 @query(f"""WITH {sql.PAIRS} SELECT anchor, candidate, CAST(levenshtein(replace(xc, ' ', ''), replace(yc, ' ', '')) AS BIGINT) AS edits,
@@ -189,11 +235,17 @@ def edit_ops_pairs(spark: SparkSession, d: str) -> DataFrame:
     return made.select("anchor", "candidate", (F.col("f.replaced") + F.col("f.inserted") + F.col("f.deleted")).cast("long").alias("edits"), (F.col("f.inserted") - F.col("f.deleted")).cast("long").alias("growth"))
 
 
-@query()
+@query(f"WITH {sql.GATED} SELECT anchor, candidate FROM gated")
 def gate_pairs(spark: SparkSession, d: str) -> DataFrame:
     return features.scored_for_gate(pairs(spark, d)).where(features.gate()).select("anchor", "candidate")
 
 
+@query(sql.for_documents(f"WITH {sql.GATED} SELECT anchor, candidate FROM gated"))
+def gate_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Of pairs that blocking finds among documents the gate rejects a good share."""
+    return features.scored_for_gate(document_pairs(spark, d)).where(features.gate()).select("anchor", "candidate")
+
+
 def _number_sql() -> str:
     na, nb, ma, mb = (sql.numbers(x) for x in ("xa", "ya", "xn", "yn"))
     some, da, db = f"len({na}) > 0 AND len({nb}) > 0", f"list_filter(list_distinct({na}), lambda n: NOT list_contains({nb}, n))", f"list_filter(list_distinct({nb}), lambda n: NOT list_contains({na}, n))"
@@ -225,9 +277,12 @@ def source_frequency(spark: SparkSession, d: str) -> DataFrame:
     return rounded(features.with_source_frequencies(split(spark, d)[1]).select("entity_id", *SOURCE_COLUMNS))
 
 
-@query(f"WITH {sql.RECORDS} SELECT country, core, count(*) AS n FROM rec WHERE source <> 1 GROUP BY ALL")
+@query(f"""WITH {sql.RECORDS} SELECT country, core, NULL AS address, count(*) AS n FROM rec WHERE source <> 1 GROUP BY ALL
+UNION ALL SELECT country, core, address, count(*) FROM rec WHERE source <> 1 GROUP BY ALL""")
 def source_profile(spark: SparkSession, d: str) -> DataFrame:
-    return features.source_profile(split(spark, d)[1])[0]
+    """Both profiles; address is null in that by core alone."""
+    by_core, by_both = features.source_profile(split(spark, d)[1])
+    return by_core.select("country", "core", F.lit(None).cast("string").alias("address"), "n").unionByName(by_both)
 
 
 @query(f"WITH {sql.RECORDS} SELECT country, count(*) AS n FROM rec WHERE source = 1 GROUP BY 1")
@@ -335,10 +390,41 @@ def error_diff(spark: SparkSession, d: str) -> DataFrame:
     return diagnose.differences(truth(spark, d), scored(spark, d), 0.5)
 
 
-@query()
+_WRONG = """said AS (SELECT anchor, candidate FROM scored WHERE score >= 0.5),
+wrong AS (SELECT anchor, candidate, 'retrieval_miss' AS kind FROM truth ANTI JOIN cand USING (anchor, candidate)
+  UNION ALL SELECT anchor, candidate, 'false_negative' FROM truth ANTI JOIN said USING (anchor, candidate)
+  UNION ALL SELECT anchor, candidate, 'false_positive' FROM said ANTI JOIN truth USING (anchor, candidate))"""
+_KINDS = ("retrieval_miss", "false_negative", "false_positive")
+
+
+@query(f"""WITH {sql.SCORED}, {_WRONG}
+SELECT anchor, {', '.join(f"coalesce(string_agg(DISTINCT candidate, ',' ORDER BY candidate) FILTER (kind = '{k}'), '') AS {k}" for k in _KINDS)}, name, address, country
+FROM wrong JOIN rec ON entity_id = anchor GROUP BY anchor, name, address, country ORDER BY anchor LIMIT 100""")
 def error_examples(spark: SparkSession, d: str) -> DataFrame:
     one, _ = split(spark, d)
-    return diagnose.examples(diagnose.differences(truth(spark, d), scored(spark, d), 0.5), one)
+    made = diagnose.examples(diagnose.differences(truth(spark, d), scored(spark, d), 0.5), one)
+    return made.select("anchor", *[F.array_join(F.coalesce(k, F.array().cast("array<string>")), ",").alias(k) for k in _KINDS], "name", "address", "country")
+
+
+@query(f"""WITH {sql.SCORED}, s AS ({sql.scores(0.5)}), said AS (SELECT anchor, string_agg(candidate, ',' ORDER BY candidate) AS predicted FROM scored WHERE score >= 0.5 GROUP BY 1),
+t AS (SELECT anchor, string_agg(candidate, ',' ORDER BY candidate) AS truth FROM truth GROUP BY 1)
+SELECT s.anchor, s.country, name, address, round(f, 6) AS score, coalesce(truth, '') AS truth, coalesce(said.predicted, '') AS predicted
+FROM s JOIN rec ON entity_id = s.anchor LEFT JOIN t ON t.anchor = s.anchor LEFT JOIN said ON said.anchor = s.anchor WHERE f < 0.999""")
+def audit_errors(spark: SparkSession, d: str) -> DataFrame:
+    one, _ = split(spark, d)
+    made = scored(spark, d)
+    return rounded(diagnose.audit_errors(evaluate.entity_scores(anchors(spark, d), made, 0.5), truth(spark, d), made.where("score >= 0.5"), one))
+
+
+@query(sql.for_documents(f"""WITH {sql.GATED}, m AS (SELECT anchor, candidate FROM cand UNION SELECT anchor, candidate || '0' FROM cand)
+SELECT count(*) AS total, count(*) FILTER (EXISTS (FROM gated g WHERE g.anchor = m.anchor AND g.candidate = m.candidate)) AS recovered,
+count(*) FILTER (EXISTS (FROM cand c WHERE c.anchor = m.anchor AND c.candidate = m.candidate) AND NOT EXISTS (FROM gated g WHERE g.anchor = m.anchor AND g.candidate = m.candidate)) AS gate_rejected FROM m"""))
+def assess_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs found and pairs of unknown records, after blocking and gate ran anew: what the gate rejects is told apart."""
+    found = document_pairs(spark, d)
+    gated = features.scored_for_gate(found).where(features.gate())
+    misses = found.select("anchor", "candidate").unionByName(found.select("anchor", F.concat("candidate", F.lit("0")).alias("candidate")))
+    return diagnose.assessed(misses, found, gated)
 
 
 @query(f"""WITH {sql.SCORED}, m AS (SELECT DISTINCT anchor, candidate FROM truth)
@@ -357,42 +443,94 @@ def _broken(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
     bad = F.when(key % 7 == 1, F.concat("id", F.lit(","), "id")).when(key % 7 == 2, F.col("anchor")).when(key % 7 == 3, F.concat(F.lit("X-"), key)).when(key % 7 == 4, F.concat("id", F.lit("9999999"))).when(key % 7 == 5, "").otherwise(F.col("id"))
     rows = c.select(key.alias("line"), "anchor", bad.alias("ids"))
     rows = rows.where("line % 11 != 3").unionByName(rows.where("line % 11 = 4")).unionByName(rows.where("line % 11 = 5").withColumn("anchor", F.concat("anchor", F.lit("-unknown"))))
+    # Rows of one line stand in the order of their anchors.
     refs = c.select(key.alias("line"), F.col("anchor").alias("entity_id"))
     return rows, c.select(key.alias("line"), "anchor", F.col("id").alias("ids")), refs, c.select(F.col("id").alias("entity_id"))
 
 
-@query("""WITH c AS (SELECT c_custkey AS k, 'S1-' || c_custkey AS a, 'S2-' || c_custkey AS i FROM customer),
+_BROKEN = """c AS (SELECT c_custkey AS k, 'S1-' || c_custkey AS a, 'S2-' || c_custkey AS i FROM customer),
 b AS (SELECT k, a, CASE k % 7 WHEN 1 THEN i || ',' || i WHEN 2 THEN a WHEN 3 THEN 'X-' || k WHEN 4 THEN i || '9999999' WHEN 5 THEN '' ELSE i END AS ids FROM c),
 r AS (SELECT * FROM b WHERE k % 11 <> 3 UNION ALL SELECT * FROM b WHERE k % 11 = 4 UNION ALL SELECT k, a || '-unknown', ids FROM b WHERE k % 11 = 5),
-l AS (SELECT a, list_filter(string_split(ids, ','), lambda x: x <> '') AS ids FROM r), e AS (SELECT DISTINCT a, unnest(ids) AS i FROM l)
-SELECT 'duplicate_row' AS rule, a AS offender FROM r GROUP BY a HAVING count(*) > 1
+l AS (SELECT a, list_filter(string_split(ids, ','), lambda x: x <> '') AS ids FROM r), e AS (SELECT DISTINCT a, unnest(ids) AS i FROM l),
+found AS (SELECT 'duplicate_row' AS rule, a AS offender FROM r GROUP BY a HAVING count(*) > 1
 UNION ALL SELECT 'duplicate_id', a FROM l WHERE len(ids) <> len(list_distinct(ids))
 UNION ALL SELECT 'self_match', a || ' ' || i FROM e WHERE i LIKE 'S1-%'
 UNION ALL SELECT 'wrong_prefix', a || ' ' || i FROM e WHERE i NOT LIKE 'S1-%' AND i NOT LIKE 'S2-%' AND i NOT LIKE 'S3-%'
 UNION ALL SELECT 'missing_row', a FROM c ANTI JOIN r USING (a)
 UNION ALL SELECT DISTINCT 'unknown_row', a FROM r ANTI JOIN c USING (a)
 UNION ALL SELECT 'unknown_target', a || ' ' || i FROM e ANTI JOIN c USING (i) WHERE i LIKE 'S2-%' OR i LIKE 'S3-%'
-UNION ALL SELECT 'not_a_candidate', a || ' ' || i FROM e ANTI JOIN c USING (a, i)""")
+UNION ALL SELECT 'not_a_candidate', a || ' ' || i FROM e ANTI JOIN c USING (a, i))"""
+
+
+@query(f"WITH {_BROKEN} SELECT rule, offender FROM found")
 def validate_rules(spark: SparkSession, d: str) -> DataFrame:
     rows, whole, refs, targets = _broken(spark, d)
     return validate.check_lists(rows, refs, targets).unionByName(validate.check_subset(rows, whole)).select("rule", "offender")
 
 
-@query()
+@query(f"""WITH {_BROKEN}, got AS (SELECT a, row_number() OVER (ORDER BY k, a) AS n FROM r), want AS (SELECT a, row_number() OVER (ORDER BY k) AS n FROM c),
+disorder AS (SELECT coalesce(want.a, got.a) AS offender FROM want FULL JOIN got USING (n) WHERE want.a IS DISTINCT FROM got.a),
+all_ AS (SELECT * FROM found UNION ALL SELECT 'order', offender FROM disorder)
+SELECT 'matches' AS "table", rule, 'error' AS severity, count(*) AS n, array_to_string(list_sort(list(DISTINCT offender))[1:5], ', ') AS examples FROM all_ GROUP BY rule""")
 def validate_strict(spark: SparkSession, d: str) -> DataFrame:
     return validate.summary(validate.validate(*_broken(spark, d), strict=True))
 
 
-@query()
+_FREQUENCIES = ", ".join(f"CASE WHEN {f} = '' THEN 0.0 ELSE ln(1 + least(1000, count(*) OVER (PARTITION BY country, {f}))) END AS reference_{f}_frequency" for f in ("name", "core", "address"))
+_VECTOR = f"""{sql.GATED}, rf AS (SELECT entity_id AS anchor, {_FREQUENCIES} FROM rec WHERE source = 1),
+sf AS (SELECT entity_id AS candidate, ln(1 + least(1000, count(*) OVER (PARTITION BY country, core))) AS source_core_frequency, ln(1 + least(1000, count(*) OVER (PARTITION BY country, core, address))) AS source_core_address_frequency FROM rec WHERE source <> 1),
+vec AS (SELECT * FROM gated JOIN rf USING (anchor) JOIN sf USING (candidate))"""
+_SHORT = {"name": "n", "core": "c", "address": "a"}
+
+
+def _screen_sql(column: str) -> str:
+    field = column.split("_")[0]
+    both = f"x{_SHORT.get(field, '')} <> '' AND y{_SHORT.get(field, '')} <> ''"
+    if field in ("reference", "source"):
+        return f"round({column}, 6) AS {column}"
+    return f"CASE WHEN {both} THEN {'0.0::DOUBLE' if column.endswith('missing') else f'round({column} / 100, 6)'} ELSE {'1.0' if column.endswith('missing') else '0.0'} END AS {column}"
+
+
+@query(f"WITH {_VECTOR} SELECT anchor, candidate, {', '.join(map(_screen_sql, SCREEN_COLUMNS))} FROM vec")
 def screen_features(spark: SparkSession, d: str) -> DataFrame:
-    found = linkage.split(tables.parties(spark, d))
+    found = party_split(spark, d)
     gated = linkage.gated_pairs(found)
     return rounded(gated.select("anchor", "candidate", *[c.alias(n) for n, c in features.screen_columns().items()]))
 
 
+def party_split(spark: SparkSession, d: str) -> linkage.Records:
+    return linkage.with_frequencies(records(spark, d))
+
+
+def _scored(x: str, y: str, value: str, column: str) -> str:
+    return f"round(CASE WHEN {x} <> '' AND {y} <> '' THEN {value} ELSE 0.0 END, 6) AS {column}"
+
+
+#: Columns of the model that SQL can say and that no other query shows beside the rest.
+_MORE = [
+    _scored("xn", "yn", "n2.token_sort / 100", "name_sort"),
+    _scored("xn", "yn", "n2.token_set / 100", "name_set"),
+    *[_scored(f"x{c}", f"y{c}", f"jaro_winkler_similarity(x{c}, y{c})", f"{f}_jw") for f, c in _SHORT.items()],
+    _scored("xc", "yc", "k2.ratio / 100", "compact_name_ratio"),
+    "round(CASE WHEN xc <> '' AND yc <> '' THEN core_ratio / 100 ELSE 0.0 END * CASE WHEN xa <> '' AND ya <> '' THEN address_ratio / 100 ELSE 0.0 END, 6) AS name_addr_product",
+    "least(length(xn), length(yn))::DOUBLE AS name_length",
+    "least(length(xa), length(ya))::DOUBLE AS address_length",
+    "CASE WHEN candidate LIKE 'S3%' THEN 1.0::DOUBLE ELSE 0.0 END AS source3",
+]
+_NOT_IN_SQL = [c for c in MODEL_COLUMNS if c.endswith(("_partial", "_rate")) or c in ("unmatched_number_similarity", "worst_name_token_similarity", "mean_name_token_similarity")]
+
+
+@query(f"""WITH {_VECTOR.replace("UNION SELECT xa, ya FROM pairs)", "UNION SELECT xa, ya FROM pairs UNION SELECT replace(xc, ' ', ''), replace(yc, ' ', '') FROM pairs)")}
+SELECT anchor, candidate, {', '.join(_screen_sql(c) for c in SCREEN_COLUMNS if not c.endswith('missing'))}, {_set_sql()}, {_number_sql()}, {', '.join(_MORE)}
+FROM vec JOIN kernels n2 ON n2.a = xn AND n2.b = yn JOIN kernels k2 ON k2.a = replace(xc, ' ', '') AND k2.b = replace(yc, ' ', '')""")
+def feature_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of the feature vector that SQL can express; the others have queries or brute-force tests of their own."""
+    return feature_vector(spark, d).drop(*_NOT_IN_SQL)
+
+
 @query()
 def feature_vector(spark: SparkSession, d: str) -> DataFrame:
-    found = linkage.split(tables.parties(spark, d))
+    found = party_split(spark, d)
     return rounded(features.model_columns(linkage.gated_pairs(found)).select("anchor", "candidate", *MODEL_COLUMNS))
 
 

@@ -148,3 +148,52 @@ SWEEP = f"""{SCORED}, grid(threshold) AS (VALUES {GRID}),
 counts AS (SELECT anchor, threshold, count(*) AS p, sum(label) AS h FROM scored JOIN grid ON score >= threshold GROUP BY ALL),
 swept AS (SELECT country, threshold, {f05('coalesce(p, 0)', 'coalesce(h, 0)', '"true"')} AS f FROM anchors CROSS JOIN grid LEFT JOIN counts USING (anchor, threshold))"""
 CUTOFFS = ", ".join(f"({c})" for c in SCREEN_CUTOFFS)
+
+
+def common(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two columns, up to 120 characters: bit-parallel, a bit a character of ``a``."""
+    mask = f"list_sum(list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, CAST(i + 1 AS BIGINT), 1) = ch THEN (1::HUGEINT << CAST(i AS INTEGER)) ELSE 0::HUGEINT END))"
+    masks = f"list_transform(string_split({b}, ''), lambda ch: CAST(coalesce({mask}, 0) AS HUGEINT))"
+    full = f"((1::HUGEINT << CAST(length({a}) AS INTEGER)) - 1)"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({a}) - bit_count(list_reduce(list_prepend({full}, {masks}), lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full})) END"
+
+
+def ratio(a: str, b: str) -> str:
+    """``similarity.ratio`` of two columns; equal texts need no counting."""
+    return f"CASE WHEN {a} = {b} THEN 100.0::DOUBLE ELSE 200.0 * ({common(a, b)}) / (length({a}) + length({b})) END"
+
+
+#: Scores of different pairs of texts of the columns a and b of a table ``texts``: sorted words, and the three sides of the word sets.
+KERNELS = f"""
+sides AS (SELECT *, list_sort(list_intersect(list_distinct(wa), list_distinct(wb))) AS meet, list_sort(list_distinct(list_filter(wa, lambda w: NOT list_contains(wb, w)))) AS left_, list_sort(list_distinct(list_filter(wb, lambda w: NOT list_contains(wa, w)))) AS right_
+  FROM (SELECT DISTINCT a, b, {words('a')} AS wa, {words('b')} AS wb FROM texts)),
+strings AS (SELECT *, array_to_string(list_sort(wa), ' ') AS sa, array_to_string(list_sort(wb), ' ') AS sb, array_to_string(meet, ' ') AS shared,
+  array_to_string(list_concat(meet, left_), ' ') AS one, array_to_string(list_concat(meet, right_), ' ') AS two FROM sides),
+kernels AS (SELECT a, b, {ratio('a', 'b')} AS ratio, {ratio('sa', 'sb')} AS token_sort,
+  CASE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0 WHEN len(meet) > 0 AND (len(left_) = 0 OR len(right_) = 0) THEN 100.0
+       ELSE greatest({ratio('one', 'two')}, CASE WHEN len(meet) > 0 THEN greatest({ratio('shared', 'one')}, {ratio('shared', 'two')}) ELSE 0.0 END) END AS token_set FROM strings)"""
+
+
+def kernels(a: str, b: str, table: str = "pairs") -> str:
+    """Common table expressions up to ``kernels`` (a, b, ratio, token_sort, token_set) of the columns ``a`` and ``b`` of ``table``."""
+    return f"texts AS (SELECT {a} AS a, {b} AS b FROM {table}),{KERNELS}"
+
+
+#: The gate's verdict, and the screening scores, of ``pairs``.
+GATED = f"""{PAIRS},
+texts AS (SELECT xn AS a, yn AS b FROM pairs UNION SELECT xc, yc FROM pairs UNION SELECT xa, ya FROM pairs),{KERNELS},
+screened AS (SELECT p.*, n.ratio AS name_ratio, c.ratio AS core_ratio, c.token_sort AS core_sort, c.token_set AS core_set, d.ratio AS address_ratio, d.token_sort AS address_sort, d.token_set AS address_set
+  FROM pairs p JOIN kernels n ON n.a = xn AND n.b = yn JOIN kernels c ON c.a = xc AND c.b = yc JOIN kernels d ON d.a = xa AND d.b = ya),
+gated AS (SELECT * FROM screened WHERE greatest(core_ratio, core_sort) >= 45 OR (xc <> '' AND yc <> '' AND core_set >= 85) OR (xa <> '' AND ya <> '' AND (address_sort >= 55 OR address_set >= 85)))"""
+
+
+def for_documents(text: str) -> str:
+    """``text`` (common table expressions over the party tables) with records of documents in place of parties."""
+    return text.replace(PARTY, DOCUMENT_PARTY)
+
+
+#: Records made of documents: their words are names and addresses; the language is the country.
+DOCUMENT_PARTY = """
+party AS (
+  SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, array_to_string(w[1:5], ' ') AS business_name, array_to_string(w[6:13], ' ') AS business_address, lang AS country, CAST(doc_id % 3 + 1 AS INTEGER) AS source
+  FROM (SELECT doc_id, lang, list_filter(string_split(regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^a-z0-9_]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents))"""

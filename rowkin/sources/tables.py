@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.normalize import ascii_fold, tokens
+from .shared import file_system, signature
+
 SOURCE_SCHEMA = "entity_id string, business_name string, business_address string, country string"
 TRUTH_SCHEMA = "source1_entity_id string, matched_entity_ids string"
 
@@ -16,9 +22,13 @@ def read_tsv(spark: SparkSession, path: str, schema: str = SOURCE_SCHEMA) -> Dat
     return raw.select(*[F.coalesce(c, F.lit("")).alias(c) for c in raw.columns])
 
 
+def source_path(folder: str, split: str, source: int) -> str:
+    return f"{folder}/{split}/{split}_source{source}.tsv"
+
+
 def read_sources(spark: SparkSession, folder: str, split: str) -> DataFrame:
     """The reference table (source 1) and both source tables of a split, with their number."""
-    parts = [read_tsv(spark, f"{folder}/{split}/{split}_source{i}.tsv").withColumn("source", F.lit(i)) for i in (1, 2, 3)]
+    parts = [read_tsv(spark, source_path(folder, split, i)).withColumn("source", F.lit(i)) for i in (1, 2, 3)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -26,20 +36,27 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, TRUTH_SCHEMA)
 
 
-def normalized(raw: DataFrame, path: str, refresh: bool = False) -> DataFrame:
-    """Normalized records of ``raw``, written once by country and source to ``path``; later calls read them, a country alone if filtered by it.
+#: Changes with what normalization makes of a record; older caches are then passed by.
+VERSION = 2
 
-    A writer that ended early leaves no _SUCCESS mark, and is not trusted.
+
+def normalized(raw: DataFrame, inputs: list[str], path: str, refresh: bool = False) -> DataFrame:
+    """Normalized records of ``raw``, written once by country and source under ``path``; later calls read them, a country alone if filtered by it.
+
+    ``inputs`` are the files that ``raw`` reads. The folder's name holds their sizes and times of change and the version, so a
+    table made of other ones is never read; a writer that ended early leaves no _SUCCESS mark, and is not trusted.
     """
     from ..functions.normalize import records
 
     spark = raw.sparkSession
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    done = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+    said = json.dumps([VERSION, raw.columns, signature(spark, inputs)])
+    folder = f"{path}/{hashlib.sha256(said.encode()).hexdigest()[:16]}"
+    mark, system = file_system(spark, f"{folder}/_SUCCESS")
     made = records(raw)
-    if refresh or not done:
-        made.write.mode("overwrite").partitionBy("country", "source").parquet(path)
-    return spark.read.schema(made.schema).parquet(path).select(*made.columns)
+    if refresh or not system.exists(mark):
+        made.write.mode("overwrite").partitionBy("country", "source").parquet(folder)
+    # The empty country comes back from the folder's name as null.
+    return spark.read.schema(made.schema).parquet(folder).select(*made.columns).fillna("", ["country"])
 
 
 def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,3 +91,12 @@ def party_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source1_entity_id, matched_entity_ids: a customer's match is its altered self."""
     key = F.col("c_custkey")
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("S1-"), key).alias("source1_entity_id"), F.concat(F.lit("S2-"), key).alias("matched_entity_ids"))
+
+
+def document_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records made of documents: the first five words are the name, the next eight the address, the language is the country, doc_id tells the source."""
+    words = tokens(F.regexp_replace(ascii_fold(F.lower("text")), "[^a-z0-9_]+", " "))
+    source = (F.col("doc_id") % 3 + 1).cast("int")
+    cut = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", source.alias("source"), words.alias("w"))
+    part = lambda start, n: F.array_join(F.slice("w", start, n), " ")
+    return cut.select(F.concat(F.lit("S"), "source", F.lit("-"), "doc_id").alias("entity_id"), part(1, 5).alias("business_name"), part(6, 8).alias("business_address"), F.col("lang").alias("country"), "source")

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.normalize import records
 from ..operators import blocking, features
+from ..sources.shared import written
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_at_once: int = 8, form: str = "parquet", **options) -> DataFrame:
@@ -21,8 +22,8 @@ def read_stream(spark: SparkSession, path: str, schema, files_at_once: int = 8,
 
 def link_stream(raw: DataFrame, references: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Writes the gated candidates (anchor, candidate, country) of each batch of raw records under ``path``/batch=N."""
-    postings = blocking.postings(references).persist()
-    own = references.persist()
+    own = written(references, "references")
+    postings = written(blocking.postings(own), "postings")
 
     def batch(rows: DataFrame, number: int) -> None:
         sources = records(rows)
