@@ -116,18 +116,23 @@ def tokens(text: Column) -> Column:
 
 
 def web_stem(text: Column) -> Column:
-    """Web addresses replaced by the first label of their host, in blanks."""
-    return F.regexp_replace(text, WEB_ADDRESS, " $1 ")
+    """Web addresses replaced by the first label of their host, in blanks. Only texts with the end of one are searched for its start."""
+    return F.when(text.rlike(r"[a-z0-9-]\.(?:com|net|org|in|fr|co)"), F.regexp_replace(text, WEB_ADDRESS, " $1 ")).otherwise(text)
+
+
+#: A word that is spelled out or a number with a zero before it, somewhere; most texts have none, and are not taken apart.
+_TO_SPELL = r"(?:^| )(?:0\d|(?:" + "|".join(ABBREVIATIONS) + r")(?: |$))"
 
 
 def clean(text: Column, scripts: str = "all") -> Column:
     """Lower case, web addresses to stems, '&' spelled out, ASCII, words only; abbreviations spelled out, numbers without leading zeros. Null: ''."""
     out = F.replace(web_stem(F.lower(F.coalesce(text, F.lit("")))), F.lit("&"), F.lit(" and "))
-    words = tokens(F.regexp_replace(ascii_fold(out, scripts), r"[^\w]+", " "))
+    plain = F.btrim(F.regexp_replace(ascii_fold(out, scripts), r"[^\w]+", " "))
     spelled = F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair])
+    longest = max(map(len, ABBREVIATIONS))
     number = lambda w: w.rlike("^[0-9]+$") & (F.length(w) < 12)
-    one = lambda w: F.coalesce(F.try_element_at(spelled, w), F.when(number(w), w.cast("bigint").cast("string")), w)
-    return F.array_join(F.transform(words, one), " ")
+    one = lambda w: F.when(w.startswith("0"), F.when(number(w), w.cast("bigint").cast("string")).otherwise(w)).when(F.length(w) <= longest, F.coalesce(F.try_element_at(spelled, w), w)).otherwise(w)
+    return F.when(plain.rlike(_TO_SPELL), F.array_join(F.transform(tokens(plain), one), " ")).otherwise(plain)
 
 
 def core_name(name: Column) -> Column:
