@@ -1,63 +1,42 @@
-"""What the operators share: the shared folder, written tables, prefix sums, word hashes."""
+"""What the operators share: written tables, word hashes, samples of labels."""
 
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import dropped, new_folder
+
 #: White space of every operator here: space and the characters 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
-
-    Only where that is unset (tests, local mode) a folder of our own is set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="rowkin-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut: a table in the shared folder, read again.
+def cut(df: DataFrame, *older: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut: a table in the shared folder, read again. Tables that it takes the place of go.
 
     A checkpoint would carry the constraints of the plan it cuts along; over the rounds of an
     iteration they outgrow the driver. A table has none.
     """
-    return written(df, "cut")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
+    return written(df, "cut", *older)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a compressed table in the shared folder, read again: for wide rows."""
+def written(df: DataFrame, name: str, *older: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder, read again: for wide rows. The tables ``older``, made here too and read no more, are removed."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    for x in older:
+        dropped(spark, x._folder)
+    return out
 
 
 #: Rows of a table that may be broadcast; they are counted first.

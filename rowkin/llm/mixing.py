@@ -83,7 +83,7 @@ def duals(classes: DataFrame, limit: float = LIMIT) -> DataFrame:
         step = F.when(F.col("slope") > 0, F.col("dual") - off / F.col("slope"))
         inside = (step > lo) & (step < hi)
         moved = F.when(done, F.col("dual")).when(inside, step).otherwise((lo + hi) / 2)
-        now = cut(got.select("source", F.round(moved, 12).alias("dual"), lo.alias("lo"), hi.alias("hi"), "target", done.alias("done")))
+        now = cut(got.select("source", F.round(moved, 12).alias("dual"), lo.alias("lo"), hi.alias("hi"), "target", done.alias("done")), now)
         if now.where("NOT done").isEmpty():
             break
     return now.select("source", "dual")

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from ..sources.shared import dropped
 from .common import checked, cut, mix64, small, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
@@ -367,16 +368,15 @@ def components(links: DataFrame) -> DataFrame:
     Minima of a hot node are partial before they are shuffled.
     """
     edges = cut(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    now = edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("root"))
+    now = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
     while True:
-        now = cut(now)
         seen = edges.join(now, edges["b"] == now["id"]).groupBy("a").agg(F.min("root").alias("_m"))
         low = now.join(seen, now["id"] == seen["a"]).select("id", F.col("root").alias("_old"), F.least("root", "_m").alias("_r"))
         up = now.select(F.col("id").alias("_n2"), F.col("root").alias("_r2"))
-        new = cut(low.join(up, low["_r"] == up["_n2"]).select("id", F.least("_r", "_r2").alias("root"), (F.least("_r", "_r2") != F.col("_old")).alias("_moved")))
-        if new.where("_moved").isEmpty():
-            return new.drop("_moved")
-        now = new.drop("_moved")
+        now = cut(low.join(up, low["_r"] == up["_n2"]).select("id", F.least("_r", "_r2").alias("root"), (F.least("_r", "_r2") != F.col("_old")).alias("_moved")), now)
+        if now.where("_moved").isEmpty():
+            dropped(links.sparkSession, edges._folder)
+            return now.drop("_moved")
 
 
 def centrality(nodes: DataFrame) -> DataFrame:

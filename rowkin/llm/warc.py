@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder, small
+from ..sources.shared import new_folder
+from .common import small
 
 #: Equal payloads of at least so many bytes are written once.
 MIN_BYTES = 0
