@@ -30,24 +30,36 @@ TOLERANCE, STEPS = 1e-4, 40
 PART_ROWS = 2000
 
 
-def targets(sizes: pd.DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> pd.DataFrame:
-    """``sizes`` (source, source_size; one row a source) with target: ``share`` of all sizes dealt by weight.
+def ranked(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with rank: the place of each source by code point from 0, null last. Ranges of sources count for themselves, a row a range is summed up."""
+    order = F.asc_nulls_last("source")
+    ranged = cut(sizes.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_c"))
+    before = counts.select("_range", (F.sum("_c").over(Window.orderBy("_range")) - F.col("_c")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return ranged.withColumn("_i", inside).join(before, "_range").withColumn("rank", F.col("_before") + F.col("_i")).select(*sizes.columns, "rank")
+
+
+def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+    """``sizes`` (source, source_size and other columns; one row a source) with target: ``share`` of all sizes dealt by weight.
 
     Sources by code point, null last, weigh ``weights``, repeating. No target exceeds ``limit`` times
-    its source's size; the excess is reshared by weight among the others until none is above.
+    its source's size; the excess is reshared by weight among the others until none is above. So a source has its weight times
+    one level, or its limit where that is less; the level rises until it deals out all there is. Only sums reach the driver.
     """
-    rows = sizes.sort_values("source", key=lambda s: s.map(lambda x: (x is None or x != x, x if isinstance(x, str) else "")))
-    rows = rows.assign(weight=[weights[i % len(weights)] for i in range(len(rows))], target=0.0).reset_index(drop=True)
-    cap, left, open_ = limit * rows["source_size"].astype(float), share * float(rows["source_size"].sum()), rows["source_size"] > 0
-    while open_.any() and left > 0:
-        dealt = left * rows["weight"] / rows.loc[open_, "weight"].sum()
-        over = open_ & (dealt > cap)
-        if not over.any():
-            rows.loc[open_, "target"] = dealt[open_]
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    rows = cut(ranked(sizes).withColumn("weight", weight).withColumn("cap", limit * F.col("source_size").cast("double")))
+    all_, level = float(rows.agg(F.sum("source_size")).first()[0] or 0), 0.0
+    while True:
+        full = (F.col("cap") < level * F.col("weight")) | (F.col("cap") == 0)
+        got = rows.agg(F.sum(F.when(full, F.col("cap")).cast("decimal(38,6)")).cast("double").alias("cap"), F.sum(F.when(~full, F.col("weight"))).alias("weight")).first()
+        if not got["weight"]:
+            break
+        new = max(0.0, share * all_ - (got["cap"] or 0.0)) / got["weight"]
+        if new <= level:
             break
-        rows.loc[over, "target"] = cap[over]
-        left, open_ = left - float(cap[over].sum()), open_ & ~over
-    return rows.drop(columns="weight")
+        level = new
+    return rows.select(*sizes.columns, F.least(F.col("cap"), level * F.col("weight")).alias("target"))
 
 
 def exact_sum(x: Column) -> Column:
@@ -106,16 +118,12 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
     Null text has size 0; documents of size 0 have one copy, and take no tokens. A null source is
     a source. Rows that repeat an id are rounded one by one. An empty table gives an empty result.
-    The sources' sizes (one row a source) go to the driver, where their targets are set.
     """
-    spark = docs.sparkSession
     sized = cut(docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"), F.monotonically_increasing_id().alias("_row")))
     hist = cut(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    sizes = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs")).toPandas()
-    sizes["source"] = sizes["source"].astype(object).where(sizes["source"].notna(), None)
-    goals = targets(sizes, weights, share, limit)
-    rows = [(r.source, int(r.source_size), float(r.target), max(float(r.source_size) / r.docs, 1e-9)) for r in goals.itertuples()]
-    goal = spark.createDataFrame(rows, "source string, source_size long, target double, mean double")
+    sizes = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("_docs"))
+    mean = F.greatest(F.col("source_size") / F.col("_docs"), F.lit(1e-9))
+    goal = cut(targets(sizes, weights, share, limit).select("source", "source_size", "target", mean.alias("mean")))
     classes = cut(by_source(hist, goal))
     dual = duals(classes, limit)
     full = F.col("target") >= limit * F.col("source_size") * (1 - 1e-12)

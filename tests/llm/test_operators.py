@@ -145,11 +145,32 @@ def test_exact_dedup_of_many_copies(spark):
     assert (made[made.doc_id % 3 == 0].group_size == 1000).all() and made.kept.sum() == made.text_sha256.nunique()
 
 
-def test_mixing_targets():
-    sizes = pd.DataFrame({"source": ["b", None, "a", "é"], "source_size": [100, 100, 1000, 0]})
-    t = mixing.targets(sizes).set_index("source")["target"]
+def targets_by_hand(sizes, weights=(5, 2, 1), share=1.5, limit=2):
+    """source: target, by dealing out and resharing; ``sizes``: (source, size)."""
+    rows = sorted(sizes, key=lambda x: (x[0] is None, x[0] or ""))
+    weight = {k: weights[i % 3] for i, (k, _) in enumerate(rows)}
+    out, open_, left = {k: 0.0 for k, _ in rows}, {k: z for k, z in rows if z}, share * sum(z for _, z in rows)
+    while open_:
+        total = sum(weight[k] for k in open_)
+        over = [k for k, z in open_.items() if left * weight[k] / total > limit * z]
+        if not over:
+            out |= {k: left * weight[k] / total for k in open_}
+            break
+        for k in over:
+            out[k] = limit * open_[k]
+        left, open_ = left - sum(out[k] for k in over), {k: z for k, z in open_.items() if k not in over}
+    return out
+
+
+def test_mixing_targets(spark):
+    make = lambda rows: {r.source: r.target for r in mixing.targets(spark.createDataFrame(rows, "source string, source_size long")).collect()}
+    t = make([("b", 100), (None, 100), ("a", 1000), ("é", 0)])
     assert t["b"] == 200 and t[None] == 200 and t["a"] == pytest.approx(1400) and t["é"] == 0
-    assert mixing.targets(pd.DataFrame({"source": [], "source_size": []})).empty
+    assert make([]) == {} and make([("a", 0)]) == {"a": 0}
+    r = random.Random(24)
+    for n in (1, 2, 7, 40):
+        rows = [(f"s{i}{chr(r.randrange(32, 0x2000))}" if i else None, r.choice([0, 5, 100, 10_000, 333])) for i in range(n)]
+        assert make(rows) == pytest.approx(targets_by_hand(rows))
 
 
 def test_mixing(spark, odd, none):
