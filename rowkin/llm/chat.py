@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import modest, small
 
 #: Rendered forms of the reserved ids, which follow the vocabulary in this order.
 CONTROL = ("<turn>", "</role>", "</turn>")
@@ -76,7 +76,7 @@ def render(ids: np.ndarray, path: str) -> list[str]:
 
 def formatted(turns: DataFrame, path: str, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv_id, turn, ids, loss_mask of each row. Null role or text: empty. Works row by row, without a shuffle."""
-    plain = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    plain = modest(turns).select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):

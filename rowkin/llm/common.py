@@ -39,6 +39,21 @@ def written(df: DataFrame, name: str, *older: DataFrame) -> DataFrame:
     return out
 
 
+#: Rows and bytes that go to a Python worker at a time; a single row may be larger.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def modest(df: DataFrame) -> DataFrame:
+    """``df``; its session's Arrow batches are made no larger than ours, as texts have any length: the default holds 10,000 of them."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = int(conf.get(name).rstrip("bB"))
+        if not 0 < now <= most:
+            conf.set(name, str(most))
+    return df
+
+
 #: Rows of a table that may be broadcast; they are counted first.
 BROADCAST_ROWS = 200_000
 
@@ -109,6 +124,12 @@ PIECE = re.compile(r"\w+|[^\w\s]+")
 _pieces = Pieces()
 
 
+def forget() -> None:
+    """At the end of a task: what its worker remembered of words, and memory it holds in reserve, are for the tasks of other stages."""
+    _pieces.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def pieces(text: str | None) -> np.ndarray:
     """The words and the runs of marks of a text, lower-cased, as uint32 CRC-32 values."""
     chunks = (text or "").lower().encode("utf-8", "replace").split()

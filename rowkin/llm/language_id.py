@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, uniform
+from .common import modest, small, uniform
 
 TOP, ORDERS = 300, 3
 #: Labelled rows of a language that its profile is learned from, about.
@@ -69,7 +69,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     Rows of null language or without a letter teach nothing. The profiles (``TOP`` codes a
     language) are all that reaches the driver.
     """
-    plain = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+    plain = modest(labelled).where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("_id"), F.col(text).alias("text"))
     n = {r["lang"]: r["n"] for r in plain.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n:
         return {}
@@ -108,7 +108,7 @@ def predict(text: str | None, profiles: dict[str, tuple[np.ndarray, np.ndarray]]
 def identified(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and lang_pred, score. Null text or text without a letter: 'und', 0. Whole texts are read."""
     ready = {k: (v[o := np.argsort(v)], o) for k, v in profiles.items() if len(v)}
-    plain = docs.select(*keep, F.col(text).alias("_text"))
+    plain = modest(docs).select(*keep, F.col(text).alias("_text"))
     schema = plain.drop("_text").schema
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -30,12 +30,13 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ..sources.shared import dropped
-from .common import checked, cut, mix64, small, word_hashes, written
+from .common import checked, cut, mix64, modest, small, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
@@ -156,18 +157,23 @@ def banded_lcs(x: list[int], y: list[int], d: int) -> int:
     return len(x) - v.bit_count()
 
 
-def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool = True) -> DataFrame:
-    """``keep`` and node (digest of the words), and with ``keys`` n (words), keys and marks (arrays)."""
+def sketched(rows: DataFrame, text: Column | str, keep: tuple[str, ...], keys: bool = True) -> DataFrame:
+    """``keep`` and node (digest of the words), and with ``keys`` n (words), keys and marks (arrays).
+
+    ``text`` is a column, or the name of a field of the struct _row, which ``keep`` then holds: a text goes to Python once.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    plain = rows.select(*keep, text.alias("_text"))
-    schema = plain.drop("_text").schema
+    inside, field = isinstance(text, str), text if isinstance(text, str) else ""
+    plain = rows.select(*keep, *([] if inside else [text.alias("_text")]))
+    schema = StructType([f for f in plain.schema.fields if f.name != "_text"])
     kept = to_arrow_schema(schema)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             nodes, n, found, marks = [], [], [], []
-            for x in b.column("_text").to_pylist():
+            texts = pc.struct_field(b.column("_row"), [b.schema.field("_row").type.get_field_index(field)]) if inside else b.column("_text")
+            for x in texts.to_pylist():
                 words = (x or "").lower().encode("utf-8", "replace").split()
                 nodes.append(digest(words))
                 if keys:
@@ -179,6 +185,7 @@ def sketched(rows: DataFrame, text: Column, keep: tuple[str, ...], keys: bool =
             if keys:
                 cols, names = [*cols, pa.array(n, pa.int64()), long_lists(found), long_lists(marks)], [*names, "n", "keys", "marks"]
             yield pa.RecordBatch.from_arrays(cols, names)
+        pa.default_memory_pool().release_unused()
 
     out = schema.add("node", "binary")
     return plain.mapInArrow(make, out.add("n", "long").add("keys", ArrayType(LongType())).add("marks", ArrayType(LongType())) if keys else out)
@@ -217,7 +224,7 @@ def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 #: Labelled shingles that a worker remembers at most, 8 bytes each.
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 20
 
 
 class Marks(dict):
@@ -504,7 +511,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     that still holds two components is held against the bucket's pivot, and what it differs in becomes its keys
     there: nodes of different components are compared only where these say they can be similar (``against_base``).
     """
-    plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
+    plain = modest(docs).select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
     rows = written(sketched(plain, F.col("_text"), ("_id",)), "sketches")
     nodes = rows.groupBy("node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
     nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
@@ -571,7 +578,7 @@ def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     _, nodes = classes(docs, text, doc_id)
     stays = nodes.where("_stays").select(F.col("node").alias("_w"), F.col("class_id").alias("_c"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    made = sketched(whole, F.col(f"_row.`{text}`"), ("_row",), keys=False)
+    made = sketched(whole, text, ("_row",), keys=False)
     found = made.join(stays, (F.col("node") == F.col("_w")) & F.col(f"_row.`{doc_id}`").cast("long").eqNullSafe(F.col("_c")), "left_semi")
     one = F.row_number().over(Window.partitionBy("node").orderBy(F.lit(0)))
     return found.withColumn("_turn", one).where("_turn = 1").select("_row.*")

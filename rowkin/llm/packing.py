@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import modest, written
 
 WINDOW = 4096
 #: A source with a share under 1 / QUEUES has no queue of its own.
@@ -35,9 +35,9 @@ UNITS = 1 << 16
 #: Tokens of a block, about: a document is never cut there.
 BLOCK = 1 << 18
 #: Chunks of text whose ids a worker keeps at most.
-CACHE = 400_000
-#: Texts that are encoded together.
-TOGETHER = 1000
+CACHE = 240_000
+#: Texts, and new words, that are encoded together.
+TOGETHER, WORDS_TOGETHER = 1000, 4096
 
 
 class Chunks(dict):
@@ -74,13 +74,14 @@ class Chunks(dict):
             else:
                 self[chunk] = self.encoded(chunk)
         words = [x for x in words if x not in self]
-        if words:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        for i in range(0, len(words), WORDS_TOGETHER):
+            some = words[i : i + WORDS_TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
-            if len(ends) != len(words):
+            if len(ends) != len(some):
                 raise ValueError("this tokenizer does not keep words apart")
             data, at = ids.tobytes(), 0
-            for word, end in zip(words, ends):
+            for word, end in zip(some, ends):
                 self[word] = data[at:end]
                 at = end
         for chunk, own in parts.items():
@@ -133,7 +134,7 @@ BLOCKS = "docs array<struct<id:bigint,source:string,n:bigint>>, data binary"
 
 def tokenized(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """block and ``BLOCKS``: documents in blocks of about ``BLOCK`` tokens, in the shared folder. data: the ids of all, each document's followed by the end id."""
-    plain = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
+    plain = modest(docs).select(F.col(doc_id).cast("long").alias("_id"), F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
     kind = pa.struct([("id", pa.int64()), ("source", pa.string()), ("n", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

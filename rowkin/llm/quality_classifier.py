@@ -13,10 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import cut, label_sample, mix64, pieces, small, uniform
+from .common import cut, forget, label_sample, mix64, modest, pieces, small, uniform
 
 BUCKETS = 1 << 16
 #: Labelled documents that the target model is fitted on, at most.
@@ -46,7 +48,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     The raw model counts every document. Without good labelled documents all ratios are 0.
     """
     sample, share = label_sample(labels, LABEL_ROWS)
-    marked = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(sample), "_doc", "left").select("_text", F.coalesce("_good", F.lit(False)).alias("_good"))
+    marked = modest(docs).select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(sample), "_doc", "left").select("_text", F.coalesce("_good", F.lit(False)).alias("_good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((2, BUCKETS), np.int64)
@@ -57,6 +59,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             for g in (0, 1):
                 if good[g]:
                     found[g] += np.bincount(np.concatenate(good[g]), minlength=BUCKETS)
+        forget()
         for g in (0, 1):
             at = np.flatnonzero(found[g])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), g, np.int32)), pa.array(at), pa.array(found[g][at])], ["good", "bucket", "n"])
@@ -75,18 +78,26 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log(p_target / p_raw)
 
 
-def scored(rows: DataFrame, ratios: np.ndarray, text: Column, doc_id: Column, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` and log_ratio, key (log ratio and noise, in whole steps). Null or blank text: log_ratio 0."""
-    plain = rows.select(*keep, text.alias("_text"), F.coalesce(uniform(doc_id, seed=6), F.lit(0.5)).alias("_u"))
+def scored(rows: DataFrame, ratios: np.ndarray, text: Column | str, doc_id: Column, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` and log_ratio, key (log ratio and noise, in whole steps). Null or blank text: log_ratio 0.
+
+    ``text`` is a column, or the name of a field of the struct _row, which ``keep`` then holds: a text goes to Python once.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = plain.drop("_text").schema
+    inside, field = isinstance(text, str), text if isinstance(text, str) else ""
+    plain = rows.select(*keep, *([] if inside else [text.alias("_text")]), F.coalesce(uniform(doc_id, seed=6), F.lit(0.5)).alias("_u"))
+    schema = StructType([f for f in plain.schema.fields if f.name != "_text"])
     names, kinds = list(schema.names), to_arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
-            made = [float(ratios[features(x)].sum()) for x in b.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kinds.names], pa.array(made, pa.float64())], [*kinds.names, "log_ratio"])
+        try:
+            for b in small(batches):
+                texts = pc.struct_field(b.column("_row"), [b.schema.field("_row").type.get_field_index(field)]) if inside else b.column("_text")
+                made = [float(ratios[features(x)].sum()) for x in texts.to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kinds.names], pa.array(made, pa.float64())], [*kinds.names, "log_ratio"])
+        finally:
+            forget()
 
     out = plain.mapInArrow(score, schema.add("log_ratio", "double"))
     key = F.floor((F.round("log_ratio", 6) - F.log(-F.log("_u"))) * SCALE).cast("long")
@@ -128,7 +139,7 @@ def selected(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     """The rows of ``docs`` that stay, columns unchanged. Nothing is shuffled but counts."""
     ratios, found = fit(docs, labels, text, doc_id)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    all_ = scored(rows, ratios, F.col(f"_row.`{text}`"), F.col(f"_row.`{doc_id}`"), ("_row",))
+    all_ = scored(rows, ratios, text, F.col(f"_row.`{doc_id}`"), ("_row",))
     keys = cut(all_.select("key"))
     least = kth_largest(keys, round(keys.count() * (found if share is None else share)))
     return all_.where(F.col("key") >= least if least is not None else F.lit(False)).select("_row.*")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_folder
-from .common import small
+from .common import modest, small
 
 #: Equal payloads of at least so many bytes are written once.
 MIN_BYTES = 0
@@ -61,7 +61,7 @@ def record_id(page_id: int | None, digest: str) -> str:
 
 def with_digests(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """_id, _url, _html, _sha (hexadecimal), _check, _bytes of each page; null html is an empty payload."""
-    plain = pages.select(F.col(page_id).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"), F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("_html"))
+    plain = modest(pages).select(F.col(page_id).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"), F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("_html"))
     return plain.select("*", F.sha1("_html").alias("_sha"), F.xxhash64("_html").alias("_check"), F.octet_length("_html").cast("long").alias("_bytes"))
 
 
