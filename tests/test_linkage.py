@@ -1,9 +1,11 @@
 """Normalization, blocking, features, metric, sinks and validators on small cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from rowkin.constants import KEY_CAPS, MODEL_COLUMNS, SCREEN_COLUMNS
+from rowkin.constants import ABBREVIATIONS, KEY_CAPS, MODEL_COLUMNS, SCREEN_COLUMNS, THRESHOLDS
 from rowkin.functions import normalize
 from rowkin.operators import blocking, diagnose, evaluate, features, sampling, validate
 from rowkin.plans import linkage
@@ -24,7 +26,7 @@ def test_clean(spark, said, want):
     assert spark.createDataFrame([(said,)], "t string").select(normalize.clean(F.col("t"))).first()[0] == want
 
 
-def test_other_scripts_fold_in_the_arrow_function(spark):
+def test_compatibility_forms_fold(spark):
     row = spark.createDataFrame([("ﬁn Łódź ①",)], "t string").select(normalize.clean(F.col("t"), "all")).first()
     assert row[0] == "fin lodz 1"
 
@@ -186,3 +188,51 @@ def test_cascade_query_trains_the_default_models(spark, monkeypatch):
         queries.cascade_predict(spark, "/root/testdata/sf0.001")
     assert seen.value.args[0] == cascade.Settings()
     assert [cascade.production_rounds(n) for n in (3, 50, 60)] == [50, 50, 60]
+
+
+@pytest.mark.parametrize(
+    "said, want",
+    [
+        ("दिल्ली प्राइवेट", "dillii praaivett"),
+        ("Москва, ул. Щорса", "moskva ul shchorsa"),
+        ("Αθήνα Ψυχή", "athena psukhe"),
+        ("محمد", "mhmd"),
+        ("שלום", "shlvm"),
+        ("서울 한국", "seoul hangug"),
+        ("ひらがな カタカナ", "hiragana katakana"),
+        ("தமிழ்", "tmilll"),
+        ("中文公司 Ltd", "u4e2d u6587 u516c u53f8 limited"),
+        ("ﬁne ½ ① ｆｕｌｌ １２ 😀", "fine 12 1 full 12"),
+    ],
+)
+def test_scripts_are_romanized(spark, said, want):
+    assert spark.createDataFrame([(said,)], "t string").select(normalize.clean(F.col("t")).alias("c")).first().c == want
+
+
+def test_texts_with_nothing_to_spell_out_come_out_alike(spark):
+    """The short way for whole texts says what the way word by word says."""
+    r = random.Random(3)
+    parts = ["co", "cocoa", "rd", "x", "0", "00", "007", "0x", "70", "123456789012", "012345678901", "ltd", "a_b", "é"]
+    texts = [" ".join(r.choice(parts) for _ in range(r.randint(0, 6))) for _ in range(300)]
+
+    def plain(t):
+        words = [w.replace("é", "e") for w in t.split()]
+        return " ".join(ABBREVIATIONS.get(w, str(int(w)) if w.isdigit() and len(w) < 12 else w) for w in words)
+
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", normalize.clean(F.col("t")).alias("c")).collect()
+    assert {x.i: x.c for x in got} == {i: plain(t) for i, t in enumerate(texts)}
+
+
+def test_thresholds_reached(spark):
+    grid = sorted(THRESHOLDS)
+    scores = [t + d for t in (0.0, *grid, 1.0) for d in (-1e-12, 0.0, 1e-12, 0.004, 0.006)] + [i / 1000 for i in range(1001)]
+    for given in (grid, [0.3, 0.5], grid[:7] + [0.995]):
+        got = spark.createDataFrame([(x,) for x in scores], "s double").select("s", evaluate.reached(F.col("s"), given).alias("n")).collect()
+        assert all(x.n == sum(t <= x.s for t in given) for x in got)
+
+
+def test_places_over_blocks_of_lines(spark, monkeypatch):
+    monkeypatch.setattr(validate, "LINES", 7)
+    lines = [3, 5, 6, 7, 20, 21, 22, 700, 701, 1 << 33, (1 << 33) + 1]
+    rows = spark.createDataFrame([(n, f"a{i}") for i, n in enumerate(lines)], "line long, anchor string").repartition(3)
+    assert {x["_a"]: x["_n"] for x in validate.places(rows, "anchor").collect()} == {f"a{i}": i + 1 for i in range(len(lines))}
