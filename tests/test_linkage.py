@@ -236,3 +236,52 @@ def test_places_over_blocks_of_lines(spark, monkeypatch):
     lines = [3, 5, 6, 7, 20, 21, 22, 700, 701, 1 << 33, (1 << 33) + 1]
     rows = spark.createDataFrame([(n, f"a{i}") for i, n in enumerate(lines)], "line long, anchor string").repartition(3)
     assert {x["_a"]: x["_n"] for x in validate.places(rows, "anchor").collect()} == {f"a{i}": i + 1 for i in range(len(lines))}
+
+
+def test_country_thresholds_are_adopted_for_a_gain_only(spark):
+    """One country needs a low threshold, one a high one; by a least gain over what both gain, the common one stays."""
+    anchors = spark.createDataFrame([(f"{c}{i}", c, 1) for c in "ab" for i in range(20)], "anchor string, country string, true int")
+    rows = [(f"a{i}", f"t{i}", 1, 1, 0.3, "a") for i in range(20)] + [(f"b{i}", f"t{i}", 1, 1, 0.9, "b") for i in range(20)] + [(f"b{i}", f"w{i}", 0, 1, 0.4, "b") for i in range(20)]
+    scored = spark.createDataFrame(rows, "anchor string, candidate string, label int, retrieved int, score double, country string")
+    overall, each = evaluate.country_thresholds(anchors, scored)
+    assert each == {"a": 0.01, "b": 0.41} and overall in (0.01, 0.41)
+    gain = evaluate.best_threshold(evaluate.sweep(anchors, scored)).first()["macro_f05"]
+    assert evaluate.country_thresholds(anchors, scored, least_gain=1 - gain + 1e-9)[1] == {}
+
+
+def test_cascade_decides_by_threshold_override_and_cutoff(spark):
+    from rowkin.plans import cascade
+
+    raw_rows = tables.parties(spark, "/root/testdata/sf0.001")
+    pairs, who = linkage.prepare(raw_rows, tables.party_truth(spark, "/root/testdata/sf0.001"))
+    pairs = pairs.persist()
+    bundle, report = cascade.train(pairs, who, cascade.Settings(rounds=3, screen_rounds=2, depth=3, least_rows=1))
+    assert report["rounds"] <= 3 and bundle.main.stages[-1].getNumTrees == cascade.production_rounds(report["rounds"])
+    shares = [x for _, x in report["importance"]]
+    assert shares == sorted(shares, reverse=True) and sum(shares) == pytest.approx(1) and {n for n, _ in report["importance"]} == set(MODEL_COLUMNS)
+    found = linkage.split(raw_rows)
+    both = blocking.paired(blocking.candidates(found.references, found.sources), found.references, found.sources)
+    # The labels of audit entities are learned from by neither tier.
+    part = sampling.part_of(F.col("group"))
+    turned = pairs.withColumn("label", F.when(part == "audit", 1 - F.col("label")).otherwise(F.col("label")))
+    again, _ = cascade.train(turned, who, cascade.Settings(rounds=3, screen_rounds=2, depth=3, least_rows=1))
+    scores = [{(r.anchor, r.candidate): round(r.score, 9) for r in cascade.predict(both, b).collect()} for b in (bundle, again)]
+    assert scores[0] == scores[1] and (again.threshold, again.cutoff) == (bundle.threshold, bundle.cutoff)
+    assert cascade.predict(both, bundle, 0.0).where("NOT matched").isEmpty() and cascade.predict(both, bundle, 1.1).where("matched").isEmpty()
+    bundle.cutoff = 1.1
+    assert cascade.predict(both, bundle).isEmpty()
+    pairs.unpersist()
+
+
+def test_fields_of_any_length(spark, tmp_path):
+    long = "x" * 300_000
+    (tmp_path / "t.tsv").write_text(f"entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t{long}\t\"a \"\"quoted\"\" one\"\tUS\n")
+    row = tables.read_tsv(spark, str(tmp_path / "t.tsv")).first()
+    assert row["business_name"] == long and row["business_address"] == 'a "quoted" one'
+
+
+def test_links_by_country(spark, tmp_path):
+    made = spark.createDataFrame([("S1-1", "S2-1", 0.5, "us"), ("S1-2", "S3-1", 0.75, "fr")], "anchor string, candidate string, score double, country string")
+    sinks.write_links(made, str(tmp_path / "l"))
+    back = spark.read.option("sep", "\t").csv(str(tmp_path / "l"))
+    assert sorted(tuple(r) for r in back.collect()) == [("S1-1", "S2-1", "0.5", "us"), ("S1-2", "S3-1", "0.75", "fr")]
