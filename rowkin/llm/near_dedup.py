@@ -376,11 +376,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = cut(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
     now = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
+
+    def step(known: DataFrame) -> DataFrame:
+        seen = edges.join(known, edges["b"] == known["id"]).groupBy("a").agg(F.min("root").alias("_m"))
+        low = known.join(seen, known["id"] == seen["a"]).select("id", F.least("root", "_m").alias("_r"))
+        up = known.select(F.col("id").alias("_n2"), F.col("root").alias("_r2"))
+        return low.join(up, low["_r"] == up["_n2"]).select("id", F.least("_r", "_r2").alias("root"))
+
     while True:
-        seen = edges.join(now, edges["b"] == now["id"]).groupBy("a").agg(F.min("root").alias("_m"))
-        low = now.join(seen, now["id"] == seen["a"]).select("id", F.col("root").alias("_old"), F.least("root", "_m").alias("_r"))
-        up = now.select(F.col("id").alias("_n2"), F.col("root").alias("_r2"))
-        now = cut(low.join(up, low["_r"] == up["_n2"]).select("id", F.least("_r", "_r2").alias("root"), (F.least("_r", "_r2") != F.col("_old")).alias("_moved")), now)
+        old = now.select(F.col("id").alias("_i"), F.col("root").alias("_old"))
+        made = step(step(now))  # two steps a table: half as many tables and looks at them
+        now = cut(made.join(old, made["id"] == old["_i"]).select("id", "root", (F.col("root") != F.col("_old")).alias("_moved")), now)
         if now.where("_moved").isEmpty():
             dropped(links.sparkSession, edges._folder)
             return now.drop("_moved")
@@ -532,7 +538,6 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     arena = cut(arenas(keyed, scores, roots))
     words = words_of_ends(arena.select("id").union(arena.select("p")), words)
     links = cut(pivot_links(arena, words))
-    roots = merged(roots, links.where("linked").select(F.col("p").alias("a"), F.col("id").alias("b")))
     moved = cut(centers(links))
     fixes = moved.groupBy(F.col("center").alias("p")).agg(F.min(F.struct(F.size("fix").alias("d"), "fix")).alias("_f")).select("p", F.col("_f.fix").alias("fix"))
     members = arena.unionByName(arena.select("p", F.col("p").alias("id")).distinct()).join(moved.select("p", "center"), "p", "left")
@@ -544,10 +549,13 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
         pairs = cut(pairs.distinct().join(known, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             new = cut(verified(pairs, words))
-            roots, known = merged(roots, new.where("similar").select("a", "b")), known.union(new.select("a", "b"))
+            known = known.union(new.select("a", "b"))
+            if not new.where("similar").isEmpty():
+                roots = merged(roots, new.where("similar").select("a", "b"))
 
     found = cut(differences(members.join(fixes, "p", "left"), words))
-    roots = merged(roots, found.where("linked").select(F.col("p").alias("a"), F.col("id").alias("b")))
+    near = links.where("linked").select("p", "id").union(found.where("linked").select("p", "id"))
+    roots = merged(roots, near.select(F.col("p").alias("a"), F.col("id").alias("b")))
     known = known.union(found.select(F.least("p", "id"), F.greatest("p", "id")))
     items = cut(first_items(found))
     # A second family is joined to one of its own texts before any two of its texts are compared.
