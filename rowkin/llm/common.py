@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import dropped, new_folder
@@ -39,6 +40,12 @@ def written(df: DataFrame, name: str, *older: DataFrame) -> DataFrame:
     return out
 
 
+def released(spark: SparkSession) -> None:
+    """After many small tables: the driver collects garbage, so Spark removes shuffle files and broadcasts that no plan holds any more. It does so by itself each half hour only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows and bytes that go to a Python worker at a time; a single row may be larger.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 

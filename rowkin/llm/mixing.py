@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, uniform, words_of
+from .common import cut, released, uniform, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2
@@ -133,6 +133,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     copies = by_source(copies, goal).select(F.col("source").alias("_s"), F.col("size").alias("_z"), "n", F.col("copies").alias("_k"), "source_size", "target")
     copies = cut(copies.withColumn("_parts", F.ceil(F.col("n") / PART_ROWS).cast("long")))
 
+    released(docs.sparkSession)
     # Documents of a class are dealt to parts by hash; each part has its share of the class's copies.
     dealt = sized.join(copies, sized["source"].eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")))
     # Rows without an id are told apart by their place alone: any of a class may have its copies.

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ..sources.shared import dropped
-from .common import checked, cut, mix64, modest, small, word_hashes, written
+from .common import checked, cut, mix64, modest, released, small, word_hashes, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 32, 8
@@ -566,6 +566,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     all_ = nodes.select("node", "id", "_first", "_copies").join(roots.withColumnRenamed("id", "_n"), F.col("id") == F.col("_n"), "left").select("node", "id", "_first", "_copies", F.coalesce("root", "id").alias("root"))
     each = all_.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("class_id"), F.sum("_copies").alias("class_size"), F.min(F.struct(F.col("_first").isNull().alias("x"), F.col("_first").alias("y"), F.col("id").alias("z"))).alias("_best"))
     each = each.withColumn("_s", F.col("_best.z"))
+    released(docs.sparkSession)
     return rows.select("_id", "node"), all_.join(each, F.col("root") == F.col("_r")).select("node", "_first", "class_id", "class_size", (F.col("id") == F.col("_s")).alias("_stays"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import cut, forget, label_sample, mix64, modest, pieces, small, uniform
+from .common import cut, forget, label_sample, mix64, modest, pieces, released, small, uniform
 
 BUCKETS = 1 << 16
 #: Labelled documents that the target model is fitted on, at most.
@@ -142,4 +142,5 @@ def selected(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     all_ = scored(rows, ratios, text, F.col(f"_row.`{doc_id}`"), ("_row",))
     keys = cut(all_.select("key"))
     least = kth_largest(keys, round(keys.count() * (found if share is None else share)))
+    released(docs.sparkSession)
     return all_.where(F.col("key") >= least if least is not None else F.lit(False)).select("_row.*")
