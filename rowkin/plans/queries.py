@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import BASE_COLUMNS, EXTRA_COLUMNS, KEY_CAPS, MODEL_COLUMNS, REFERENCE_COLUMNS, SCREEN_COLUMNS, SOURCE_COLUMNS
@@ -51,6 +51,17 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
     return blocking.paired(blocking.candidates(one, rest), one, rest)
 
 
+def class_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """``pairs`` of classes of like records, dealt out to be scored; ``by_record`` makes pairs of records of them."""
+    found = linkage.alike(linkage.Records(*split(spark, d)))
+    return features.spread(blocking.paired(blocking.candidates(found.references, found.sources), found.references, found.sources))
+
+
+def by_record(pairs: DataFrame, made: list[Column]) -> DataFrame:
+    """anchor, candidate and ``made`` (rounded) of every pair of records of ``pairs`` of classes."""
+    return blocking.expanded(rounded(pairs.select(F.col("x.members").alias("_x"), F.col("y.members").alias("_y"), *made)))
+
+
 def truth(spark: SparkSession, d: str) -> DataFrame:
     return sampling.exploded_truth(tables.party_truth(spark, d))
 
@@ -210,8 +221,8 @@ w AS (SELECT xc, yc, u, max(ratio) / 100 AS best FROM (SELECT DISTINCT xc, yc, u
 s AS (SELECT xc, yc, min(coalesce(best, 0)) AS worst, avg(coalesce(best, 0)) AS mean FROM t LEFT JOIN w USING (xc, yc, u) GROUP BY ALL)
 SELECT anchor, candidate, round(coalesce(worst, 0), 6) AS worst_token, round(coalesce(mean, 0), 6) AS mean_token FROM pairs LEFT JOIN s USING (xc, yc)""")
 def best_token_pairs(spark: SparkSession, d: str) -> DataFrame:
-    made = features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.full_scores().alias("f"))
-    return rounded(made.select("anchor", "candidate", "f.worst_token", "f.mean_token"))
+    made = class_pairs(spark, d).withColumn("f", similarity.full_scores(["worst_token", "mean_token"]))
+    return by_record(made, [F.col("f.worst_token"), F.col("f.mean_token")])
 
 
 def _only(x: str, y: str) -> str:

@@ -70,3 +70,9 @@ def test_edits_sum_to_the_distance():
 def test_token_best():
     assert s.token_best("", "a") == (0, 0) and s.token_best("a", "") == (0, 0)
     assert s.token_best("acme beta", "acme") == (pytest.approx(s.ratio("beta", "acme") / 100), pytest.approx((1 + s.ratio("beta", "acme") / 100) / 2))
+
+
+@pytest.mark.parametrize("kernel", list(s.MANY))
+def test_many_pairs_are_scored_like_one(kernel):
+    pairs = texts(200) + texts(60, "abcd é", 70, 2) + texts(20, "ab", 300, 3) + [("a" * 63, "a" * 63 + "b"), ("a" * 64, "b" * 64), ("ab" * 32, "ba" * 32), ("", "")]
+    assert s.MANY[kernel](pairs) == [kernel(a, b) for a, b in pairs] and s.MANY[kernel]([]) == []

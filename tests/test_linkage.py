@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowkin.constants import ABBREVIATIONS, KEY_CAPS, MODEL_COLUMNS, SCREEN_COLUMNS, THRESHOLDS
-from rowkin.functions import normalize
+from rowkin.functions import normalize, similarity
 from rowkin.operators import blocking, diagnose, evaluate, features, sampling, validate
-from rowkin.plans import linkage
+from rowkin.plans import linkage, queries
 from rowkin.sources import sinks, tables
 
 RAW = "entity_id string, business_name string, business_address string, country string, source int"
@@ -285,3 +285,51 @@ def test_links_by_country(spark, tmp_path):
     sinks.write_links(made, str(tmp_path / "l"))
     back = spark.read.option("sep", "\t").csv(str(tmp_path / "l"))
     assert sorted(tuple(r) for r in back.collect()) == [("S1-1", "S2-1", "0.5", "us"), ("S1-2", "S3-1", "0.75", "fr")]
+
+
+def copies(spark):
+    """References and sources with copies, more than a row of a class holds, and keys at their caps and above."""
+    rows = [(f"S1-{i}", f"Acme {i % 3} Ltd", f"{i % 2} Main Road", "x", 1) for i in range(KEY_CAPS["n"] * 3 + 2)]
+    rows += [(f"S2-{i}", ("ACME 2", "Acme 0 Limited", "Bolt 7")[i % 3], "1 Main Road", "x" if i % 5 else "y", 2) for i in range(30)]
+    return normalize.records(raw(spark, *rows, *[(f"S3-{i}", "Zeta", "9 Side Street", "x", 3) for i in range(blocking.MEMBERS * 3)], ("S1-z", "Zeta Ltd", "9 Side Street", "x", 1)))
+
+
+def test_classes_of_like_records_bring_the_pairs_of_records(spark):
+    made = copies(spark)
+    found = linkage.Records(made.where("source = 1"), made.where("source != 1"))
+    one = linkage.alike(found)
+    assert one.references.count() < found.references.count() / 50 and one.sources.agg(F.max("alike")).first()[0] < 2 * blocking.MEMBERS
+    assert {c.entity_id for c in found.sources.collect()} == {i for c in one.sources.collect() for i in c.members}
+    pairs = blocking.paired(blocking.candidates(one.references, one.sources), one.references, one.sources)
+    got = sorted(map(tuple, blocking.expanded(pairs.selectExpr("x.members AS _x", "y.members AS _y")).collect()))
+    assert got and got == sorted(map(tuple, blocking.candidates(found.references, found.sources).collect()))
+
+
+def test_pairs_that_were_made_distinct_are_dealt_to_all_tasks(spark):
+    pairs = spark.range(2000).selectExpr("id % 40 AS anchor", "id AS candidate").distinct()
+    assert features.spread(pairs).select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("names", [["worst_token", "mean_token"], ["replaced", "inserted", "deleted"], ["name_partial", "core_jw"]])
+def test_scores_asked_for_are_those_of_all(spark, names):
+    x = "named_struct('name', concat('ab ', id % 3), 'core', concat('b ', id), 'address', 'c')"
+    pairs = spark.range(30).selectExpr(f"{x} AS x", f"{x.replace('id', '(7 - id)')} AS y")
+    both = pairs.select(similarity.full_scores().alias("all"), similarity.full_scores(names).alias("some"))
+    assert both.select("some.*").columns == names and both.where(" OR ".join(f"all.{n} != some.{n}" for n in names)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["best_token_pairs"])
+def test_pair_queries_score_classes_once(spark, tmp_path, monkeypatch, name):
+    for table in ("region", "nation", "customer", "supplier"):
+        whole = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        if table in ("customer", "supplier"):
+            key = whole.columns[0]
+            whole = whole.where(f"{key} < 20").crossJoin(spark.range(3)).withColumn(key, F.col(key) + 1000 * F.col("id")).drop("id")
+        whole.write.parquet(f"{tmp_path}/{table}.parquet")
+    seen = []
+    real = features.spread
+    monkeypatch.setattr(features, "spread", lambda pairs: seen.append(real(pairs)) or seen[-1])
+    made = queries.QUERIES[name](spark, str(tmp_path))
+    want = queries.gate_pairs(spark, str(tmp_path)) if name.startswith(("screen", "feature")) else queries.pairs(spark, str(tmp_path)).select("anchor", "candidate")
+    assert sorted(map(tuple, made.select("anchor", "candidate").collect())) == sorted(map(tuple, want.collect()))
+    assert seen[0].count() < made.count() / 3
