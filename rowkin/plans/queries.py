@@ -242,8 +242,8 @@ def number_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
 CAST(length(replace(yc, ' ', '')) - length(replace(xc, ' ', '')) AS BIGINT) AS growth FROM pairs""")
 def edit_ops_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The sum of the edit kinds, and insertions less deletions: what all shortest scripts have in common."""
-    made = features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.full_scores().alias("f"))
-    return made.select("anchor", "candidate", (F.col("f.replaced") + F.col("f.inserted") + F.col("f.deleted")).cast("long").alias("edits"), (F.col("f.inserted") - F.col("f.deleted")).cast("long").alias("growth"))
+    made = class_pairs(spark, d).withColumn("f", similarity.full_scores(["replaced", "inserted", "deleted"]))
+    return by_record(made, [(F.col("f.replaced") + F.col("f.inserted") + F.col("f.deleted")).cast("long").alias("edits"), (F.col("f.inserted") - F.col("f.deleted")).cast("long").alias("growth")])
 
 
 @query(f"WITH {sql.GATED} SELECT anchor, candidate FROM gated")
