@@ -196,7 +196,7 @@ def jw_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _kernel_query(name: str, kernel, column: str | None = None, field: str = "core") -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return rounded(features.spread(pairs(spark, d)).select("anchor", "candidate", similarity.scorer(kernel)(f"x.{field}", f"y.{field}").alias("similarity")))
+        return by_record(class_pairs(spark, d), [similarity.scorer(kernel)(f"x.{field}", f"y.{field}").alias("similarity")])
 
     run.__name__ = name
     x, y = f"x{field[0]}", f"y{field[0]}"
