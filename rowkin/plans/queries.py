@@ -504,9 +504,8 @@ def _screen_sql(column: str) -> str:
 
 @query(f"WITH {_VECTOR} SELECT anchor, candidate, {', '.join(map(_screen_sql, SCREEN_COLUMNS))} FROM vec")
 def screen_features(spark: SparkSession, d: str) -> DataFrame:
-    found = party_split(spark, d)
-    gated = linkage.gated_pairs(found)
-    return rounded(gated.select("anchor", "candidate", *[c.alias(n) for n, c in features.screen_columns().items()]))
+    gated = linkage.gated_pairs(linkage.alike(party_split(spark, d)))
+    return by_record(gated, [c.alias(n) for n, c in features.screen_columns().items()])
 
 
 def party_split(spark: SparkSession, d: str) -> linkage.Records:

@@ -318,7 +318,7 @@ def test_scores_asked_for_are_those_of_all(spark, names):
     assert both.select("some.*").columns == names and both.where(" OR ".join(f"all.{n} != some.{n}" for n in names)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["best_token_pairs", "feature_vector", "edit_ops_pairs", "feature_columns", "partial_ratio_pairs"])
+@pytest.mark.parametrize("name", ["best_token_pairs", "feature_vector", "edit_ops_pairs", "feature_columns", "partial_ratio_pairs", "screen_features"])
 def test_pair_queries_score_classes_once(spark, tmp_path, monkeypatch, name):
     for table in ("region", "nation", "customer", "supplier"):
         whole = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
