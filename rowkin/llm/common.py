@@ -143,11 +143,16 @@ def pieces(text: str | None) -> np.ndarray:
     return np.frombuffer(b"".join(map(_pieces.__getitem__, chunks)), "<u4")
 
 
+def labelled(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """_doc, _good of every labelled document. Null ids and labels are left out; a document labelled twice is good if all its labels are."""
+    return labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_doc")).agg((F.min(label) > 0).alias("_good"))
+
+
 def label_sample(labels: DataFrame, rows: int, label: str = "quality") -> tuple[DataFrame, float]:
     """(_doc, _good) of at most ``rows`` labelled documents, by hash of the id, and the share of good ones of all.
 
-    Null ids and labels are left out; a document labelled twice is good if all its labels are. Without labels the share is 1.
+    Of those that ``labelled`` finds. Without labels the share is 1.
     """
-    each = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_doc")).agg((F.min(label) > 0).alias("_good"))
+    each = labelled(labels, label)
     share = each.agg(F.avg(F.col("_good").cast("double"))).first()[0]
     return each.orderBy(uniform("_doc", seed=3), "_doc").limit(rows), 1.0 if share is None else share

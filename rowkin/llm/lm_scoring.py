@@ -1,6 +1,6 @@
 """Language-model scoring by cross-entropy difference.
 
-A target model (documents labelled good, a bounded sample) and a background model (all
+A target model (every document labelled good) and a background model (all
 documents) over runs of one to ``ORDER`` words, alike in order, smoothing and vocabulary: every
 word of the corpus. A document's score is the mean over its tokens of the target loss less
 the background loss; small is near to the target. The background is the whole corpus, the document with it.
@@ -9,6 +9,7 @@ Counts are exact and grow with the corpus; no task holds more than a bounded par
 none reaches the driver but the totals:
 
 - documents are read once and written as blocks of about ``BLOCK`` tokens (numbers of the words of the block);
+- labels meet the ids of the blocks' documents, never their texts; what comes back to a block is a bit a document;
 - every block asks for the counts of its distinct runs, dealt by hash to as many shards as keep
   a shard's runs under ``SHARD``; however frequent a run, a block asks for it once;
 - a shard adds up the counts of its runs over all blocks and answers each block;
@@ -28,11 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PIECE, Pieces, label_sample, mix64, modest, small, written
+from .common import PIECE, Pieces, labelled, mix64, modest, small, written
 
 ORDER = 3
-#: Labelled documents that the target model is fitted on, at most.
-LABEL_ROWS = 20_000
 #: Weight, in counts, of the estimate from one word less: small ones trust runs that a text has from itself alone.
 PRIOR = 50.0
 #: Tokens of a block, about: a document is never cut.
@@ -74,44 +73,65 @@ def unpacked(data: bytes, n: int, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n)
 
 
-BLOCKS = "ids array<long>, sizes array<int>, good array<boolean>, words binary, n_words int, codes binary, n_codes int"
+BLOCKS = "ids array<long>, sizes array<int>, words binary, n_words int, codes binary, n_codes int"
 
 
-def blocks(docs: DataFrame, sample: DataFrame, text: str, doc_id: str) -> DataFrame:
+def blocks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """block and ``BLOCKS``: documents in blocks, in the shared folder.
 
     codes: for each token the number of its word in the block, frequent words first.
     """
-    marked = modest(docs).select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(sample.where("_good")), "_doc", "left").select("_doc", "_text", F.coalesce("_good", F.lit(False)).alias("_good"))
+    read = modest(docs).select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, good, held, tokens = [], [], [], 0
+        ids, held, tokens = [], [], 0
 
         def block() -> pa.RecordBatch:
             words, code, n = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
             order = np.argsort(-n, kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order))
-            cols = [[ids], [[len(x) for x in held]], [good], [packed(words[order])], [len(words)], [packed(place[code.reshape(-1)])], [tokens]]
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["ids", "sizes", "good", "words", "n_words", "codes", "n_codes"])
+            cols = [[ids], [[len(x) for x in held]], [packed(words[order])], [len(words)], [packed(place[code.reshape(-1)])], [tokens]]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["ids", "sizes", "words", "n_words", "codes", "n_codes"])
 
         for b in small(batches):
-            for i, x, g in zip(b.column("_doc").to_pylist(), b.column("_text").to_pylist(), b.column("_good").to_pylist()):
+            for i, x in zip(b.column("_doc").to_pylist(), b.column("_text").to_pylist()):
                 ids.append(i)
-                good.append(g)
                 held.append(hashes(x))
                 tokens += len(held[-1])
                 if tokens >= BLOCK:
                     yield block()
-                    ids, good, held, tokens = [], [], [], 0
+                    ids, held, tokens = [], [], 0
         if ids:
             yield block()
 
-    made = marked.mapInArrow(gather, BLOCKS).withColumn("block", F.monotonically_increasing_id())
+    made = read.mapInArrow(gather, BLOCKS).withColumn("block", F.monotonically_increasing_id())
     return written(made, "blocks")
 
 
+def bits_of(rows: pa.Table) -> pa.Table:
+    """block, a bit for each of its documents up to the last good one, and the events of the good ones."""
+    place, size = (rows.column(c).to_numpy() for c in ("place", "size"))
+    good = np.zeros(place.max() + 1, bool)
+    good[place] = True
+    events = int((size[size > 0].astype(np.int64) + 1).sum())
+    return pa.table({"block": rows.column("block")[:1], "bits": pa.array([np.packbits(good).tobytes()], pa.binary()), "events": pa.array([events], pa.int64())})
+
+
+def good_of(bits: bytes | None, n: int) -> np.ndarray:
+    """Which of the ``n`` documents of a block are good, from its bits; without any, none."""
+    known = np.unpackbits(np.frombuffer(bits or b"", np.uint8))[:n].astype(bool)
+    return np.concatenate([known, np.zeros(n - len(known), bool)])
+
+
+def marked(made: DataFrame, labels: DataFrame) -> DataFrame:
+    """block, bits, events of the blocks that hold a document labelled good. Only ids and places move."""
+    each = made.select("block", F.posexplode(F.arrays_zip("ids", "sizes")).alias("place", "_d")).select("block", "place", F.col("_d.sizes").alias("size"), F.col("_d.ids").alias("_doc"))
+    good = each.join(labelled(labels).where("_good").select("_doc"), "_doc").select("block", "place", "size")
+    return written(good.groupBy("block").applyInArrow(bits_of, "block long, bits binary, events long"), "marks")
+
+
 class Block:
     """The runs of a block's documents. A document with a token ends in ``END``, so every run before its end goes on."""
 
@@ -191,7 +211,7 @@ def asked(made: DataFrame, shards: int) -> DataFrame:
         for b in small(batches, 1):
             for row in b.to_pylist():
                 block = Block.of(row)
-                runs, all_, good = block.counted(np.array(row["good"], bool))
+                runs, all_, good = block.counted(good_of(row["bits"], len(row["sizes"])))
                 order, keys, at = dealt(runs, block.singles, shards)
                 single = np.concatenate([[0], np.cumsum(order < block.singles)])
                 all_, good = all_[order], good[order]
@@ -202,7 +222,7 @@ def asked(made: DataFrame, shards: int) -> DataFrame:
                 data = [[steps(keys[i:j], k) for (i, j), k in zip(spans, first)], [packed(all_[i:j]) for i, j in spans], [packed(good[i:j]) for i, j in spans]]
                 yield pa.RecordBatch.from_arrays([*cols, *[pa.array(x, pa.binary()) for x in data]], ["shard", "block", "n", "singles", "keys", "all_", "good"])
 
-    return made.select("block", "sizes", "good", "words", "n_words", "codes", "n_codes").mapInArrow(ask, ASKED)
+    return made.select("block", "bits", "sizes", "words", "n_words", "codes", "n_codes").mapInArrow(ask, ASKED)
 
 
 def answer(rows: pa.Table) -> pa.Table:
@@ -255,16 +275,15 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     """doc_id, n_tokens, target_loss, background_loss, score of each row, losses per token in natural logarithms.
 
     Null text or text without a word or mark: 0 tokens, null losses and score. Whole texts are read. Rows that repeat
-    count each on its own. Ids are whole numbers; null ids stay. Without good labels the target model knows no run, and all
+    count each on its own. The target model is fitted on every document labelled good. Ids are whole numbers; null ids stay. Without good labels the target model knows no run, and all
     its words are alike. An empty table gives an empty result.
     """
-    sample, _ = label_sample(labels, LABEL_ROWS)
-    made = blocks(docs, sample, text, doc_id)
-    docs_of = lambda ok: f"aggregate(zip_with(sizes, good, (s, g) -> IF(s > 0 AND {ok}, s + 1L, 0L)), 0L, (a, x) -> a + x)"
-    total = made.agg(F.sum(F.expr(docs_of("true"))).alias("all_"), F.sum(F.expr(docs_of("g"))).alias("good"), F.sum(F.col("n_codes").cast("long")).alias("tokens")).first()
-    events = {"all_": total["all_"] or 0, "good": total["good"] or 0}
+    made = blocks(docs, text, doc_id)
+    marks = marked(made, labels)
+    total = made.agg(F.sum(F.expr("aggregate(sizes, 0L, (a, s) -> a + IF(s > 0, s + 1L, 0L))")).alias("all_"), F.sum(F.col("n_codes").cast("long")).alias("tokens")).first()
+    events = {"all_": total["all_"] or 0, "good": marks.agg(F.sum("events")).first()[0] or 0}
     shards = int(min(1 << 22, -(-(total["tokens"] or 0) * ORDER // (2 * SHARD)) + 1))
-    requests = asked(made, shards)
+    requests = asked(made.join(F.broadcast(marks.select("block", "bits")), "block", "left"), shards)  # a bit a document: 2 MB for 30 GB of texts
     schema = "block long, shard int, n int, fresh long, all_ binary, good binary"
     answers = written(requests.groupBy("shard").applyInArrow(answer, schema), "answers")
     words = answers.agg(F.sum("fresh")).first()[0] or 0

@@ -624,6 +624,15 @@ def test_lm_scoring(spark, odd, none):
     assert lm_scoring.scored(none, labels).count() == 0
 
 
+def test_lm_target_is_fitted_on_every_good_document(spark):
+    """More labels than a sample would hold: each text is one word of its own, so all that were counted lose alike."""
+    docs = spark.range(0, 21_000, 1, 4).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    labels = docs.selectExpr("doc_id", "IF(doc_id < 20900, 1, 0) AS quality")
+    got = lm_scoring.scored(docs, labels).collect()
+    good = {round(x.target_loss, 9) for x in got if x.doc_id < 20_900}
+    assert len(got) == 21_000 and len(good) == 1 and good.pop() < min(x.target_loss for x in got if x.doc_id >= 20_900)
+
+
 def test_lm_scores_by_brute_force(spark, monkeypatch):
     """Against plain counting, over many blocks and shards; repeated rows count and score each on their own."""
     monkeypatch.setattr(lm_scoring, "BLOCK", 300)
