@@ -333,3 +333,54 @@ def test_pair_queries_score_classes_once(spark, tmp_path, monkeypatch, name):
     want = queries.gate_pairs(spark, str(tmp_path)) if name.startswith(("screen", "feature")) else queries.pairs(spark, str(tmp_path)).select("anchor", "candidate")
     assert sorted(map(tuple, made.select("anchor", "candidate").collect())) == sorted(map(tuple, want.collect()))
     assert seen[0].count() < made.count() / 3
+
+
+def test_cascade_scores_like_records_once(spark, tmp_path, monkeypatch):
+    """Training pairs and links of tables with copies are those of a run over pairs of records, of which few are scored."""
+    from rowkin.plans import cascade
+
+    for table in ("region", "nation", "customer", "supplier"):
+        whole = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        if table in ("customer", "supplier"):
+            key = whole.columns[0]
+            whole = whole.where(f"{key} < 40").crossJoin(spark.range(4)).withColumn(key, F.col(key) + 1000 * F.col("id")).drop("id")
+        whole.write.parquet(f"{tmp_path}/{table}.parquet")
+    found, seen = linkage.split(tables.parties(spark, str(tmp_path))), []
+    one = features.model_columns(linkage.gated_pairs(found)).drop("x", "y", "s")
+    both = blocking.paired(blocking.candidates(found.references, found.sources), found.references, found.sources)
+    real = features.spread
+    monkeypatch.setattr(features, "spread", lambda pairs: seen.append(real(pairs)) or seen[-1])
+    made, who = linkage.prepared(found, tables.party_truth(spark, str(tmp_path)))
+    made = made.persist()
+    assert sorted(map(tuple, made.where("retrieved = 1").select(one.columns).collect())) == sorted(map(tuple, one.collect()))
+    monkeypatch.setattr(cascade, "LEAST_ROUNDS", 2)
+    bundle, _ = cascade.train(made, who, cascade.Settings(rounds=3, screen_rounds=2, depth=3, least_rows=5))
+    before = len(seen)
+    linked = linkage.linked(found, bundle)
+    assert max(s.count() for s in (seen[0], *seen[before:])) < both.count() / 3
+    assert sorted(map(tuple, rounded(linked))) == sorted(map(tuple, rounded(cascade.predict(both, bundle)))) and not linked.isEmpty()
+
+
+def rounded(linked):
+    return linked.select("anchor", "candidate", "country", F.round("score", 9), "matched").collect()
+
+
+def test_trees_learn_from_counted_rows(spark, tmp_path):
+    """The least rows of a leaf are counted by weight; neither order nor place of rows matters; a longer training begins like a shorter one."""
+    from rowkin.plans import cascade
+
+    few = cascade.Settings(depth=2, least_rows=30, row_share=1.0)
+    for copies, splits in ((30, True), (29, False)):
+        rows = cascade.counted(spark.range(2 * copies).selectExpr("cast(id % 2 AS double) AS u", "id % 2 AS label"), ["u"])
+        assert rows.count() == 2 and {r._n for r in rows.collect()} == {copies}
+        assert (cascade.fitted(rows, ["u"], 1, few).stages[-1].trees[0].depth > 0) is splits
+    table = spark.range(3000).selectExpr("cast(id % 300 AS double) AS u", "cast(id % 7 AS double) AS v", "cast(id % 300 > 150 OR id % 7 = 3 OR id % 31 = 0 AS int) AS label")
+    rows, some = cascade.counted(table, ["u", "v"]).persist(), cascade.Settings(depth=3, least_rows=5)
+    one, turned, short = (cascade.fitted(r, ["u", "v"], n, some) for r, n in ((rows, 6), (rows.repartition(7).orderBy(F.desc("v")), 6), (rows, 4)))
+    scores = lambda model: sorted((r.u, r.v, round(r.p, 9)) for r in cascade.probability(model, rows, "p").collect())
+    cut = cascade.first_rounds(one, 4)
+    assert scores(one) == scores(turned) and scores(one) != scores(short) == scores(cut)
+    cut.save(f"{tmp_path}/cut")
+    assert scores(cascade.PipelineModel.load(f"{tmp_path}/cut")) == scores(short)
+    assert cut.stages[-1].getNumTrees == 4 and cut.stages[-1].numFeatures == 2 and len(cut.stages[-1].featureImportances) == 2
+    rows.unpersist()
