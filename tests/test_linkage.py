@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rowkin.constants import ABBREVIATIONS, KEY_CAPS, MODEL_COLUMNS, SCREEN_COLUMNS, THRESHOLDS
+from rowkin.constants import ABBREVIATIONS, KEY_CAPS, MODEL_COLUMNS, REFERENCE_COLUMNS, SCREEN_COLUMNS, SOURCE_COLUMNS, THRESHOLDS
 from rowkin.functions import normalize, similarity
 from rowkin.operators import blocking, diagnose, evaluate, features, sampling, validate
 from rowkin.plans import linkage, queries
@@ -384,3 +384,29 @@ def test_trees_learn_from_counted_rows(spark, tmp_path):
     assert scores(cascade.PipelineModel.load(f"{tmp_path}/cut")) == scores(short)
     assert cut.stages[-1].getNumTrees == 4 and cut.stages[-1].numFeatures == 2 and len(cut.stages[-1].featureImportances) == 2
     rows.unpersist()
+
+
+def test_feature_columns_compute_no_other_scores(spark, monkeypatch):
+    """What SQL cannot say is not scored for it, and the columns are those of the vector."""
+    asked, real = [], features.full_scores
+    monkeypatch.setattr(features, "full_scores", lambda names: asked.append(names) or real(names))
+    d = "/root/testdata/sf0.001"
+    some, whole = queries.feature_columns(spark, d), queries.feature_vector(spark, d)
+    assert asked[0] == ["name_sort", "name_set", "name_jw", "core_jw", "address_jw", "compact_ratio"] and asked[1] == similarity.FULL_SCORES
+    assert some.columns == [c for c in whole.columns if c not in queries._NOT_IN_SQL]
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.select(some.columns).collect()))
+
+
+def test_frequencies_of_classes_are_those_of_records(spark):
+    made = copies(spark)
+    classes, by_record = linkage.alike_of(made), linkage.with_frequencies(made)
+    for one, each, columns in ((classes.references, by_record.references, REFERENCE_COLUMNS), (classes.sources, by_record.sources, SOURCE_COLUMNS)):
+        got = one.select(F.explode("members").alias("entity_id"), *columns).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, each.select("entity_id", *columns).collect()))
+
+
+def test_records_of_one_file_are_normalized_by_all_tasks(spark, tmp_path):
+    rows = spark.range(60_000).coalesce(1).selectExpr("concat('S1-', id) AS entity_id", "sha2(cast(id AS string), 256) AS business_name", "sha2(cast(-id AS string), 512) AS business_address", "'x' AS country", "1 AS source")
+    rows.write.parquet(f"{tmp_path}/in")
+    made = tables.normalized(spark.read.parquet(f"{tmp_path}/in"), [f"{tmp_path}/in"], f"{tmp_path}/cache")
+    assert made.count() == 60_000 and made.select(F.input_file_name().alias("f")).distinct().count() == 4
