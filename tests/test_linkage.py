@@ -410,3 +410,56 @@ def test_records_of_one_file_are_normalized_by_all_tasks(spark, tmp_path):
     rows.write.parquet(f"{tmp_path}/in")
     made = tables.normalized(spark.read.parquet(f"{tmp_path}/in"), [f"{tmp_path}/in"], f"{tmp_path}/cache")
     assert made.count() == 60_000 and made.select(F.input_file_name().alias("f")).distinct().count() == 4
+
+
+def with_copies(spark, folder, customers=40, copies=4):
+    """A folder of tables whose few customers and suppliers are repeated with shifted keys."""
+    for table in ("region", "nation", "customer", "supplier"):
+        whole = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        if table in ("customer", "supplier"):
+            key = whole.columns[0]
+            whole = whole.where(f"{key} < {customers}").crossJoin(spark.range(copies)).withColumn(key, F.col(key) + 1000 * F.col("id")).drop("id")
+        whole.write.parquet(f"{folder}/{table}.parquet")
+    return folder
+
+
+def test_cascade_learns_from_pairs_of_classes(spark, tmp_path):
+    """Pairs of classes, with the number of pairs of records, bring the models, thresholds and report of the pairs of records."""
+    from rowkin.plans import cascade
+
+    d = with_copies(spark, str(tmp_path / "in"))
+    rows, truth = tables.parties(spark, d), tables.party_truth(spark, d)
+    one, found = linkage.alike_of_raw(rows), linkage.split(rows)
+    by_class, by_record = linkage.prepared_classes(one, truth), linkage.prepared(found, truth)
+    pairs = [by_class[0].persist(), by_record[0].persist()]
+    both = [sorted(map(tuple, cascade.counted(p, MODEL_COLUMNS, "retrieved", "group").collect())) for p in pairs]
+    assert both[0] == both[1] and both[0] and pairs[0].count() < pairs[1].count() / 3
+    anchors = [sorted(map(tuple, a.select("anchor", "country", "group", "true").collect())) for a in (by_class[1], by_record[1])]
+    assert anchors[0] == anchors[1]
+    some = cascade.Settings(rounds=3, screen_rounds=2, depth=3, least_rows=5)
+    (a, said), (b, want) = (cascade.train(p, who, some) for p, (_, who) in zip(pairs, (by_class, by_record)))
+    assert (a.threshold, a.country_thresholds, a.cutoff) == (b.threshold, b.country_thresholds, b.cutoff)
+    flat = lambda x: [y for z in x for y in flat(z)] if isinstance(x, (list, tuple)) else flat(sorted(x.items())) if isinstance(x, dict) else [x]
+    for report in (said, want):
+        report["audit"].sort(key=lambda r: r["country"] or "")
+    got, expected = flat(said), flat(want)
+    assert len(got) == len(expected) and all(u == pytest.approx(v) if isinstance(u, float) else u == v for u, v in zip(got, expected))
+    assert sorted(map(tuple, rounded(linkage.linked_classes(one, a)))) == sorted(map(tuple, rounded(linkage.linked(found, b))))
+    for p in pairs:
+        p.unpersist()
+
+
+def test_cascade_query_makes_no_pairs_of_records_to_train(spark, tmp_path, monkeypatch):
+    from rowkin.plans import cascade
+
+    class Seen(Exception):
+        pass
+
+    def train(pairs, who, settings=None):
+        raise Seen(pairs.count(), pairs.agg(F.sum("_n")).first()[0])
+
+    monkeypatch.setattr(cascade, "train", train)
+    with pytest.raises(Seen) as seen:
+        queries.cascade_predict(spark, with_copies(spark, str(tmp_path / "in"), 20))
+    rows, pairs = seen.value.args
+    assert rows < pairs / 4
