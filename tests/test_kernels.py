@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 
 from rowkin.functions import similarity as s
@@ -76,3 +77,13 @@ def test_token_best():
 def test_many_pairs_are_scored_like_one(kernel):
     pairs = texts(200) + texts(60, "abcd é", 70, 2) + texts(20, "ab", 300, 3) + [("a" * 63, "a" * 63 + "b"), ("a" * 64, "b" * 64), ("ab" * 32, "ba" * 32), ("", "")]
     assert s.MANY[kernel](pairs) == [kernel(a, b) for a, b in pairs] and s.MANY[kernel]([]) == []
+
+
+def test_fields_that_say_the_same_are_scored_once(monkeypatch):
+    """A core that is the name is not scored again, and Jaro-Winkler is said of many pairs at a time."""
+    seen, asked = [], {"name_jw": (s.jaro_winkler, "n"), "core_partial": (s.partial, "c"), "core_jw": (s.jaro_winkler, "c"), "name_partial": (s.partial, "n")}
+    for f in (s.jaro_winkler, s.partial):
+        monkeypatch.setitem(s.MANY, f, lambda pairs, real=s.MANY[f]: seen.append(len(pairs)) or real(pairs))
+    name, core = (pd.Series(["acme one", "beta", "acme one"]), pd.Series(["acme", "bet", "acne"])), (pd.Series(["acme one", "beta", "acme"]), pd.Series(["acme", "bet", "acne"]))
+    made = s._fields_each(asked, {"n": name, "c": core})
+    assert seen == [4, 4] and {k: list(v) for k, v in made.items()} == {k: [f(*p) for p in zip(*{"n": name, "c": core}[x])] for k, (f, x) in asked.items()}
