@@ -463,3 +463,28 @@ def test_cascade_query_makes_no_pairs_of_records_to_train(spark, tmp_path, monke
         queries.cascade_predict(spark, with_copies(spark, str(tmp_path / "in"), 20))
     rows, pairs = seen.value.args
     assert rows < pairs / 4
+
+
+def test_gate_computes_its_scores_once(spark):
+    """The filter on the scores stays behind the dealing out to all tasks: moved before it, it would need them too."""
+    x = "named_struct('name', concat('ab ', id), 'core', concat('b ', id), 'address', 'c')"
+    pairs = spark.range(30).selectExpr("id AS anchor", "-id AS candidate", f"{x} AS x", f"{x.replace('id', '(7 - id)')} AS y").distinct()
+    gated = features.scored_for_gate(pairs).where(features.gate()).select("anchor", "s.core_ratio", "s.address_set")
+    assert gated._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_raw_records_that_are_alike_are_normalized_once(spark, monkeypatch):
+    rows = raw(spark, *[(f"S1-{i}", ("Acme Ltd", "ACME limited")[i % 2], "1 Main Rd", "x", 1) for i in range(40)], *[(f"S2-{i}", None, "", "x", 2) for i in range(blocking.MEMBERS + 40)])
+    seen, real = [], linkage.records
+    monkeypatch.setattr(linkage, "records", lambda given: seen.append(given.count()) or real(given))
+    one, want = linkage.alike_of_raw(rows), linkage.alike_of(normalize.records(rows))
+    assert len(seen) == 1 and seen[0] <= 2 + 2
+    assert [sorted(r.members) for r in one.references.collect()] == [sorted(r.members) for r in want.references.collect()] == [sorted(f"S1-{i}" for i in range(40))]
+    listed = lambda t: sorted((i, *r) for r in t.select("name", "address", "country", "core", "source", *SOURCE_COLUMNS, "members").collect() for i in r.members for r in [tuple(r)[:-1]])
+    assert listed(one.sources) == listed(want.sources) and one.sources.agg(F.sum("alike")).first()[0] == blocking.MEMBERS + 40
+
+
+def test_customers_of_one_file_are_read_by_all_tasks(spark):
+    """Their table has few bytes for its rows; nations are sent to them, not they to the nations."""
+    plan = tables.parties(spark, "/root/testdata/sf0.001").where("source = 1")
+    assert plan.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
